@@ -21,7 +21,10 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 def write_csv(df: DataFrame, path: str, separator: str = ",", mode: str = "overwrite") -> str:
     """Delimited text with a header and doubled quotes, in as many files as there are tasks."""
-    df.write.mode(mode).option("header", True).option("sep", separator).option("escape", '"').csv(path)
+    options = {"header": True, "sep": separator, "escape": '"'}
+    # By default the writer would trim the values.
+    options |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode(mode).options(**options).csv(path)
     return path
 
 

@@ -7,7 +7,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 # The actions that change a status, and the alert text.
@@ -16,6 +15,7 @@ INACTIVE_ACTION = "idle"
 ALERT = "User is inactive"
 
 STATE = "active boolean, order long, seen long"
+FIRST = -(2**62)
 
 
 def _last_actions(df: DataFrame, key: str, action: str, order: str, time: str | None) -> DataFrame:
@@ -24,22 +24,15 @@ def _last_actions(df: DataFrame, key: str, action: str, order: str, time: str |
     This runs before the shuffle, so a hot key reaches its state task as a few rows per input
     task, not as all its events.
     """
-    key_type = df.schema[key].dataType
-    schema = T.StructType(
-        [
-            T.StructField("key", key_type),
-            T.StructField("active", T.BooleanType()),
-            T.StructField("order", T.LongType()),
-            T.StructField("event_time", T.TimestampType()),
-        ]
-    )
+    schema = "key string, active boolean, order long, event_time timestamp"
     slim = df.select(
-        F.col(key).alias("key"),
+        # As text a key passes through pandas unchanged even if some keys are NULL.
+        F.col(key).cast("string").alias("key"),
         F.when(F.col(action) == ACTIVE_ACTION, 1)
         .when(F.col(action) == INACTIVE_ACTION, 0)
         .otherwise(-1)
         .alias("change"),
-        F.col(order).cast("long").alias("order"),
+        F.coalesce(F.col(order).cast("long"), F.lit(FIRST)).alias("order"),
         (F.col(time) if time else F.lit(None).cast("timestamp")).alias("event_time"),
     )
 
@@ -47,14 +40,13 @@ def _last_actions(df: DataFrame, key: str, action: str, order: str, time: str |
         for rows in batches:
             if rows.empty:
                 continue
-            newest = rows.groupby("key", sort=False)["event_time"].max()
-            changes = rows[rows["change"] >= 0].sort_values("order", kind="stable")
-            last = changes.groupby("key", sort=False).tail(1).set_index("key")
-            out = pd.DataFrame({"event_time": newest}).join(last[["change", "order"]])
-            out = out.reset_index()
-            out["active"] = out["change"].map({1.0: True, 0.0: False}).astype("object")
-            out["order"] = out["order"].astype("Int64")
-            yield out[["key", "active", "order", "event_time"]]
+            # Status changes sort behind other actions, so the last row of a key is its newest change.
+            rows["is_change"] = rows["change"] >= 0
+            rows["event_time"] = rows.groupby("key", dropna=False)["event_time"].transform("max")
+            rows = rows.sort_values(["is_change", "order"], kind="stable")
+            last = rows.groupby("key", dropna=False, sort=False).tail(1)
+            active = last["change"].map({1: True, 0: False, -1: None}).astype("object")
+            yield last.assign(active=active)[["key", "active", "order", "event_time"]]
 
     return slim.mapInPandas(reduce, schema)
 
@@ -103,14 +95,13 @@ def track_status(
         timeout = GroupStateTimeout.ProcessingTimeTimeout
     else:
         timeout = GroupStateTimeout.NoTimeout
-    key_field = T.StructField(key, stream.schema[key].dataType)
-    second = T.StructField("message", T.StringType()) if alerts else T.StructField("active", T.BooleanType())
+    second = "message string" if alerts else "active boolean"
 
     def emit(name, active: bool) -> Iterator[pd.DataFrame]:
         if not alerts:
-            yield pd.DataFrame({key: [name], "active": [active]})
+            yield pd.DataFrame({"key": [name], "active": [active]})
         elif not active:
-            yield pd.DataFrame({key: [name], "message": [ALERT]})
+            yield pd.DataFrame({"key": [name], "message": [ALERT]})
 
     def update(group, frames, state):
         (name,) = group
@@ -118,7 +109,7 @@ def track_status(
             state.remove()
             yield from emit(name, False)
             return
-        old = state.get if state.exists else (False, -(2**62), 0)
+        old = state.get if state.exists else (False, FIRST, 0)
         active, last, seen = _merge(frames, *old)
         state.update((active, last, seen))
         if event_timeout_ms:
@@ -127,6 +118,8 @@ def track_status(
             state.setTimeoutDuration(idle_ms)
         yield from emit(name, active)
 
-    return partial.groupBy("key").applyInPandasWithState(
-        update, T.StructType([key_field, second]), STATE, "append" if alerts else "update", timeout
+    tracked = partial.groupBy("key").applyInPandasWithState(
+        update, f"key string, {second}", STATE, "append" if alerts else "update", timeout
     )
+    restored = F.col("key").cast(stream.schema[key].dataType).alias(key)
+    return tracked.select(restored, "message" if alerts else "active")
