@@ -81,25 +81,44 @@ def salt_pair(
     fact_key: str,
     dim_key: str,
     spread_by: Sequence[str],
-    share: float = 0.01,
-    salts: int = 32,
+    hot: Sequence,
+    salts: int = 64,
     into: str = "salt",
 ) -> tuple[DataFrame, DataFrame]:
     """Both sides with a salt column, so that no hot key of ``fact`` meets in one partition.
 
-    Rows of a hot key take one of ``salts`` salts from a hash of ``spread_by``; the other rows
-    have salt 0. ``dim`` repeats only its hot rows, once per salt. Join on (key, salt).
+    Rows of a ``hot`` key (see ``hot_keys``) take one of ``salts`` salts from a hash of
+    ``spread_by``; the other rows have salt 0. ``dim`` repeats only its hot rows, once per salt.
+    Join on (key, salt). With the keys given it works on streams, where AQE does not split.
     """
-    hot = hot_keys(fact, fact_key, share)
-    is_hot = F.col(fact_key).isin(hot) if hot else F.lit(False)
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    salted = fact.withColumn(into, F.when(is_hot, spread).otherwise(F.lit(0)))
-    copies = F.array(*[F.lit(i) for i in range(salts)])
-    is_hot_dim = F.col(dim_key).isin(hot) if hot else F.lit(False)
-    repeated = dim.withColumn(
-        into, F.explode(F.when(is_hot_dim, copies).otherwise(F.array(F.lit(0))))
-    )
-    return salted, repeated
+    salt, copies = F.lit(0), F.array(F.lit(0))
+    if hot:
+        spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+        salt = F.when(F.col(fact_key).isin(list(hot)), spread).otherwise(salt)
+        each = F.array(*[F.lit(i) for i in range(salts)])
+        copies = F.when(F.col(dim_key).isin(list(hot)), each).otherwise(copies)
+    return fact.withColumn(into, salt), dim.withColumn(into, F.explode(copies))
+
+
+def salted_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    dim_key: str,
+    spread_by: Sequence[str],
+    hot: Sequence,
+    how: str = "inner",
+    salts: int = 64,
+) -> DataFrame:
+    """Inner or left join of ``fact`` with ``dim`` in which hot keys are spread over partitions."""
+    if how not in ("inner", "left"):
+        raise ValueError(f"salted_join supports inner and left, not {how}")
+    if not hot:
+        return fact.join(dim, F.col(fact_key) == F.col(dim_key), how)
+    left, right = salt_pair(fact, dim, fact_key, dim_key, spread_by, hot, salts, "__salt")
+    right = right.withColumnRenamed("__salt", "__copy")
+    condition = (F.col(fact_key) == F.col(dim_key)) & (F.col("__salt") == F.col("__copy"))
+    return left.join(right, condition, how).drop("__salt", "__copy")
 
 
 def range_join(

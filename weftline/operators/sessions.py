@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def sessions(
     df: DataFrame, key: str, time: str, gap_seconds: int, sums: Sequence[tuple[str, Column]] = ()
 ) -> DataFrame:
-    """Sessions per key that end when the next row is ``gap_seconds`` or more away.
+    """Sessions per key that end when the next row is more than ``gap_seconds`` away.
 
     Rows of one key in one cell of the gap's length are always in the same session, so they are
     combined before the shuffle; the window then sees one row per key and cell, however many rows
@@ -32,7 +32,7 @@ def sessions(
         )
     )
     ordered = Window.partitionBy(key).orderBy("__cell")
-    starts = F.col("__first") - F.lag("__last").over(ordered) >= F.lit(width)
+    starts = F.col("__first") - F.lag("__last").over(ordered) > F.lit(width)
     numbered = cells.withColumn("__new", F.coalesce(starts, F.lit(False)).cast("int"))
     numbered = numbered.withColumn("__session", F.sum("__new").over(ordered))
     out = numbered.groupBy(key, "__session").agg(

@@ -10,7 +10,7 @@ from weftline.operators import joins, sets
 from weftline.plans.registry import query
 from weftline.session import scratch
 from weftline.sources.readers import local_rows
-from weftline.sources.writers import write_bucketed
+from weftline.sources.writers import bucket_count, write_bucketed
 
 
 def order_customer(t):
@@ -70,7 +70,7 @@ _BUCKETED = """SELECT o_orderkey, o_totalprice, c_custkey, c_name FROM orders
     JOIN customer ON o_custkey = c_custkey"""
 
 
-def bucketed_pair(t, buckets=8):
+def bucketed_pair(t):
     """Orders and customers as tables with equal bucket counts; hot customers spread by salt."""
     orders, customers = joins.salt_pair(
         t.orders.select("o_orderkey", "o_totalprice", "o_custkey"),
@@ -78,7 +78,9 @@ def bucketed_pair(t, buckets=8):
         "o_custkey",
         "c_custkey",
         ["o_orderkey"],
+        joins.hot_keys(t.orders, "o_custkey", 0.01),
     )
+    buckets = bucket_count(t.orders.count())
     mark = uuid.uuid4().hex[:12]
     left = write_bucketed(
         orders, f"orders_{mark}", scratch(t.spark, "bucketed"), buckets, ["o_custkey", "salt"]
@@ -99,17 +101,17 @@ def join_bucketed(t):
 
 @query("join_salted", _BUCKETED)
 def join_salted(t):
-    orders, customers = joins.salt_pair(
+    # A low limit, so that evenly spread tables also have a few keys above it.
+    hot = joins.hot_keys(t.orders, "o_custkey", 0.001)
+    return joins.salted_join(
         t.orders.select("o_orderkey", "o_totalprice", "o_custkey"),
         t.customer.select("c_custkey", "c_name"),
         "o_custkey",
         "c_custkey",
         ["o_orderkey"],
-        share=0.0005,
-        salts=4,
-    )
-    condition = (orders.o_custkey == customers.c_custkey) & (orders.salt == customers.salt)
-    return orders.join(customers, condition).select("o_orderkey", "o_totalprice", "c_custkey", "c_name")
+        hot,
+        salts=8,
+    ).select("o_orderkey", "o_totalprice", "c_custkey", "c_name")
 
 
 PRICE_BANDS = [("low", 900.0, 925.0), ("middle", 925.0, 975.0), ("high", 975.0, 1000.0), ("offer", 910.0, 930.0)]

@@ -211,8 +211,8 @@ def snk_table(t):
 
 @query("snk_bucketed", "SELECT * FROM customer")
 def snk_bucketed(t):
-    path = scratch(t.spark, "bucketed")
-    return t.spark.table(writers.write_bucketed(t.customer, _name("customer"), path, 8, ["c_custkey"]))
+    path, buckets = scratch(t.spark, "bucketed"), writers.bucket_count(t.customer.count())
+    return t.spark.table(writers.write_bucketed(t.customer, _name("customer"), path, buckets, ["c_custkey"]))
 
 
 @query(

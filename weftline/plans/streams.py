@@ -7,12 +7,11 @@ import datetime
 from pyspark.sql import functions as F
 
 from weftline.functions.columns import bucketize, split_field, words
+from weftline.operators.joins import hot_keys
 from weftline.plans.joining import (
     INTERVAL_SECONDS,
     INTERVAL_SQL,
     building,
-    order_customer,
-    urgent,
     views_and_clicks,
 )
 from weftline.plans.registry import query
@@ -24,7 +23,12 @@ from weftline.streaming.joins import stream_equi_join, stream_interval_join, wit
 from weftline.streaming.progress import progress_table
 from weftline.streaming.run import finish, run, run_all, start
 from weftline.streaming.sources import replay, table_stream, text_stream
-from weftline.streaming.windows import as_event_time, session_windowed, windowed
+from weftline.streaming.windows import (
+    MERGE_SESSIONS_EARLY,
+    as_event_time,
+    session_windowed,
+    windowed,
+)
 
 # Later than every event: moves the watermark past all open windows at the end of a replay.
 FAR = datetime.datetime(2100, 1, 1)
@@ -293,7 +297,8 @@ def stream_sliding(t):
     FROM s GROUP BY user_id, session""",
 )
 def stream_session(t):
-    return run(session_windowed(event_stream(t), "ts", "6 hours", ["user_id"]), "complete").rows()
+    found = session_windowed(event_stream(t), "ts", "6 hours", ["user_id"])
+    return run(found, "complete", conf=MERGE_SESSIONS_EARLY).rows()
 
 
 @query(
@@ -361,7 +366,8 @@ def stream_dedup_wm(t):
     "SELECT o_orderkey, o_custkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey",
 )
 def stream_static_join(t):
-    joined = with_table(table_stream(t.spark, t.path("orders")), t.customer, order_customer(t))
+    orders, hot = table_stream(t.spark, t.path("orders")), hot_keys(t.orders, "o_custkey", 0.01)
+    joined = with_table(orders, t.customer, "o_custkey", "c_custkey", ["o_orderkey"], hot)
     return run(joined.select("o_orderkey", "o_custkey", "c_name")).rows()
 
 
@@ -371,7 +377,8 @@ def stream_static_join(t):
     LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') ON o_custkey = c_custkey""",
 )
 def stream_static_left(t):
-    joined = with_table(table_stream(t.spark, t.path("orders")), building(t), order_customer(t), "left")
+    orders, hot = table_stream(t.spark, t.path("orders")), hot_keys(t.orders, "o_custkey", 0.01)
+    joined = with_table(orders, building(t), "o_custkey", "c_custkey", ["o_orderkey"], hot, "left")
     return run(joined.select("o_orderkey", "o_custkey", "c_name")).rows()
 
 
@@ -382,7 +389,8 @@ def stream_static_left(t):
 def stream_stream_equi(t):
     orders = table_stream(t.spark, t.path("orders")).select("o_orderkey", "o_custkey", "o_totalprice")
     customers = table_stream(t.spark, t.path("customer")).select("c_custkey", "c_name")
-    joined = stream_equi_join(orders, customers, "o_custkey", "c_custkey", "o_orderkey")
+    hot = hot_keys(t.orders, "o_custkey", 0.01)
+    joined = stream_equi_join(orders, customers, "o_custkey", "c_custkey", ["o_orderkey"], hot)
     return run(joined.select("o_orderkey", "o_totalprice", "c_name")).rows()
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -45,6 +46,11 @@ def write_table(df: DataFrame, name: str, path: str | None = None, mode: str = "
     return name
 
 
+def bucket_count(rows: int, rows_per_bucket: int = 5_000_000, least: int = 8) -> int:
+    """A bucket count for a table of this size; give the larger table's count to both sides."""
+    return max(least, math.ceil(rows / rows_per_bucket))
+
+
 def write_bucketed(
     df: DataFrame, name: str, path: str, buckets: int, keys: Sequence[str], sort: Sequence[str] | None = None
 ) -> str:

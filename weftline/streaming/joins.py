@@ -3,33 +3,46 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from weftline.operators.joins import interval_join
+from weftline.operators.joins import interval_join, salted_join
 
 
-def with_table(stream: DataFrame, table: DataFrame, condition, how: str = "inner") -> DataFrame:
-    """Stream on the left, table on the right; stateless, so no watermark is needed."""
-    if how not in ("inner", "left", "left_semi"):
-        raise ValueError("with the stream on the left only inner, left and left_semi can be decided")
-    return stream.join(table, condition, how)
+def with_table(
+    stream: DataFrame,
+    table: DataFrame,
+    stream_key: str,
+    table_key: str,
+    spread_by: Sequence[str],
+    hot: Sequence = (),
+    how: str = "inner",
+) -> DataFrame:
+    """Stream on the left, table on the right; stateless, so no watermark is needed.
+
+    Streams run without AQE, so hot keys of the stream are to be named here.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("with the stream on the left only inner and left can be decided")
+    return salted_join(stream, table, stream_key, table_key, spread_by, hot, how)
 
 
 def stream_equi_join(
-    facts: DataFrame, unique: DataFrame, fact_key: str, unique_key: str, spread_by: str, salts: int = 8
+    facts: DataFrame,
+    unique: DataFrame,
+    fact_key: str,
+    unique_key: str,
+    spread_by: Sequence[str],
+    hot: Sequence = (),
 ) -> DataFrame:
     """Inner equi-join of two streams where the keys of ``unique`` occur once.
 
     Without a time bound the state keeps both streams for ever: only for streams that end. The
-    facts of one key are spread over ``salts`` state partitions; ``unique`` is repeated for each.
+    facts of a hot key are spread over several state partitions.
     """
     warnings.warn("a stream join without a time bound keeps all rows as state", stacklevel=2)
-    salted = facts.withColumn("__fs", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    copies = unique.withColumn("__us", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    condition = (F.col(fact_key) == F.col(unique_key)) & (F.col("__fs") == F.col("__us"))
-    return salted.join(copies, condition).drop("__fs", "__us")
+    return salted_join(facts, unique, fact_key, unique_key, spread_by, hot)
 
 
 def stream_interval_join(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,7 +97,22 @@ def finish(query: StreamingQuery, timeout: float | None = None) -> list:
         query.stop()
 
 
-def run(df: DataFrame, mode: str = "append", name: str | None = None) -> StreamResult:
+@contextmanager
+def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the block; a query keeps those it was started with."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def run(
+    df: DataFrame, mode: str = "append", name: str | None = None, conf: Mapping[str, str] | None = None
+) -> StreamResult:
     """Run a stream over all available input; state and result go to the shared folder."""
     spark = df.sparkSession
     path, checkpoint = scratch(spark, "stream"), scratch(spark, "checkpoint")
@@ -106,8 +122,10 @@ def run(df: DataFrame, mode: str = "append", name: str | None = None) -> StreamR
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
         batches.append(number)
 
-    query = start(df, mode, path, checkpoint, name, on_batch=None if mode == "append" else write)
-    return StreamResult(spark, path, df.schema, mode, batches, finish(query))
+    with settings(spark, conf or {}):
+        query = start(df, mode, path, checkpoint, name, on_batch=None if mode == "append" else write)
+        progress = finish(query)
+    return StreamResult(spark, path, df.schema, mode, batches, progress)
 
 
 def run_all(streams: Sequence[tuple[str, DataFrame, str]]) -> dict[str, StreamResult]:

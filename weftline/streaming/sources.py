@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from dataclasses import dataclass
 
@@ -11,24 +12,27 @@ from pyspark.sql import types as T
 
 from weftline.session import scratch
 
+BATCH_BYTES = 512 * 2**30
+FEW_SLICES = 4
+
 
 def table_stream(
     spark: SparkSession,
     path: str,
     schema: T.StructType | None = None,
     max_files: int | None = None,
-    max_bytes: int | None = None,
+    max_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """Stream a parquet table from where it lies, oldest files first.
 
-    Without a schema it is borrowed from a batch read. ``max_files`` or ``max_bytes`` bounds one
-    micro-batch. File order is not time order, so put a watermark only on a ``replay``.
+    Without a schema it is borrowed from a batch read. ``max_files``, else ``max_bytes``, bounds
+    one micro-batch. File order is not time order, so put a watermark only on a ``replay``.
     """
     schema = schema if schema is not None else spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    elif max_bytes:
+    else:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     # As a pattern the path may also name a single file, which a plain stream path may not.
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
@@ -57,30 +61,47 @@ class Replay:
         )
 
 
-def replay(df: DataFrame, order_by: str, slices: int = 3, rows_per_file: int = 5_000_000) -> Replay:
+def replay(
+    df: DataFrame,
+    order_by: str,
+    slices: int = 3,
+    rows_per_file: int = 5_000_000,
+    rows_per_slice: int = 2_000_000_000,
+) -> Replay:
     """Write ``df`` as slices of rising ``order_by`` and describe the stream over them.
 
     The slices are cut at approximate quantiles and written one after the other, so their files
     have rising modification times, which is the order a file stream follows. Each slice is
-    written in parallel, as several files if it is large.
+    written in parallel; large tables get more slices, so that a micro-batch stays bounded.
     """
+    spark, rows = df.sparkSession, df.count()
+    slices = max(slices, math.ceil(rows / rows_per_slice))
     fractions = [(i + 1) / slices for i in range(slices)]
-    found = df.agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx(order_by, fractions, 10_000).alias("p")
-    ).first()
-    bounds = sorted(set(found["p"] or []))
-    files = max(1, math.ceil(found["n"] / max(1, len(bounds)) / rows_per_file))
-    path = scratch(df.sparkSession, "replay")
-    previous = None
-    for i, bound in enumerate(bounds or [None]):
-        rows = df
-        if bound is not None:
-            inside = F.col(order_by) <= F.lit(bound)
-            first = inside | F.col(order_by).isNull()
-            rows = df.filter(first if previous is None else inside & (F.col(order_by) > F.lit(previous)))
-        rows.repartition(files).write.parquet(f"{path}/{i:04d}")
-        previous = bound
-    return Replay(df.sparkSession, path, df.schema, files, max(1, len(bounds)))
+    found = df.agg(F.percentile_approx(order_by, fractions, 10_000)).first()[0]
+    bounds = sorted(set(found or []))
+    files = max(1, math.ceil(rows / max(1, len(bounds)) / rows_per_file))
+    path = scratch(spark, "replay")
+    for i, part in enumerate(_slices(df, order_by, bounds)):
+        part.repartition(files).write.parquet(f"{path}/{i:04d}")
+    return Replay(spark, path, df.schema, files, max(1, len(bounds)))
+
+
+def _slices(df: DataFrame, order_by: str, bounds: list) -> list[DataFrame]:
+    """Rows up to each bound and above the one before; NULL belongs to the first slice."""
+    if not bounds:
+        return [df]
+    above = [(F.col(order_by) > F.lit(b)).cast("int") for b in bounds[:-1]]
+    number = F.coalesce(sum(above, F.lit(0)), F.lit(0)).alias("slice")
+    if len(bounds) <= FEW_SLICES:
+        parts = [df.filter(F.col(order_by).isNull() | (F.col(order_by) <= F.lit(bounds[0])))]
+        for low, high in itertools.pairwise(bounds):
+            parts.append(df.filter((F.col(order_by) > F.lit(low)) & (F.col(order_by) <= F.lit(high))))
+        return parts
+    # One pass that sorts rows into folders instead of one scan per slice.
+    staged = scratch(df.sparkSession, "slices")
+    df.select("*", number).write.partitionBy("slice").parquet(staged)
+    reader = df.sparkSession.read.schema(df.schema)
+    return [reader.parquet(f"{staged}/slice={i}") for i in range(len(bounds))]
 
 
 def replay_batches(batches: list[DataFrame]) -> Replay:

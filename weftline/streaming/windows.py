@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Combines the sessions of a key within each input task, before the shuffle.
+MERGE_SESSIONS_EARLY = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+
 
 def as_event_time(df: DataFrame, column: str) -> DataFrame:
     """The column as a session-zone timestamp, as watermarks require."""
