@@ -43,27 +43,27 @@ def aggregate(
 ) -> DataFrame:
     """Run an ``Aggregator`` per key in three steps: per batch, per (key, lane), per key.
 
+    ``inputs`` are columns other than the keys.
+
     Rows never leave their task. Only buffers are shuffled, and the lanes keep the merge of a key
     that occurs in every task from being one long loop.
     """
-    key_schema = T.StructType([df.schema[k] for k in keys])
-    partial_schema = T.StructType(
-        [
-            *key_schema,
-            T.StructField("__lane", T.IntegerType()),
-            T.StructField("__buffer", T.BinaryType()),
-        ]
+    # As text, keys pass through pandas unchanged even if some are NULL.
+    key_columns = ", ".join(f"`{k}` STRING" for k in keys)
+    partial_schema = f"{key_columns}, __lane INT, __buffer BINARY"
+    final_schema = f"{key_columns}, `{into}` {aggregator.output_type.simpleString()}"
+    slim = df.select(
+        *[F.col(k).cast("string").alias(k) for k in keys], *inputs
     )
-    final_schema = T.StructType([*key_schema, T.StructField(into, aggregator.output_type)])
 
     # Plain closures: they travel to the workers by value.
     def partial(batches):
         lane = 0
         for rows in batches:
             parts = []
-            for key, part in rows.groupby(keys, dropna=False, sort=False):
+            for _, part in rows.groupby(keys, dropna=False, sort=False):
                 buffer = aggregator.reduce(aggregator.zero(), part[inputs])
-                parts.append((*key, lane, pickle.dumps(buffer)))
+                parts.append((*part.iloc[0][keys], lane, pickle.dumps(buffer)))
             lane = (lane + 1) % fan_in
             yield pd.DataFrame(parts, columns=[*keys, "__lane", "__buffer"])
 
@@ -83,10 +83,9 @@ def aggregate(
         first[into] = [aggregator.finish(merged(rows))]
         return first
 
-    partials = df.select(*keys, *[c for c in inputs if c not in keys]).mapInPandas(
-        partial, partial_schema
-    )
+    partials = slim.mapInPandas(partial, partial_schema)
     spread = F.pmod(F.col("__lane") + F.spark_partition_id(), F.lit(fan_in)).cast("int")
     lanes = partials.withColumn("__lane", spread)
     combined = lanes.groupBy(*keys, "__lane").applyInPandas(combine, partial_schema)
-    return combined.groupBy(*keys).applyInPandas(final, final_schema)
+    results = combined.groupBy(*keys).applyInPandas(final, final_schema)
+    return results.select(*[F.col(k).cast(df.schema[k].dataType).alias(k) for k in keys], into)
