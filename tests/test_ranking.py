@@ -25,14 +25,14 @@ def skewed(spark):
 @pytest.mark.parametrize("descending", [False, True])
 def test_ranks_equal_plain_windows(skewed, descending):
     wanted = dict(rank="r", dense_rank="d", running_count="c", row_number="n", tie_break="id")
-    chunked = with_ranks(skewed, ["g"], "v", descending, **wanted, rows_per_chunk=20)
+    chunked = with_ranks(skewed, ["g"], "v", descending, **wanted, whole_rows=0, rows_per_chunk=20)
     plain = with_ranks(skewed, ["g"], "v", descending, **wanted)
     assert chunked.dtypes == plain.dtypes
     assert rows(chunked) == rows(plain)
 
 
 def test_ranks_without_groups(skewed):
-    chunked = with_ranks(skewed, [], "v", rank="r", row_number="n", tie_break="id", rows_per_chunk=50)
+    chunked = with_ranks(skewed, [], "v", rank="r", row_number="n", tie_break="id", whole_rows=0, rows_per_chunk=50)
     plain = with_ranks(skewed, [], "v", rank="r", row_number="n", tie_break="id")
     assert rows(chunked) == rows(plain)
 
@@ -42,7 +42,7 @@ def test_ranks_by_time(spark):
         "id", "id % 2 AS g", "timestamp_seconds(id div 3) AS ts", "cast(timestamp_seconds(id div 3) AS timestamp_ntz) AS tn"
     )
     for column in ("ts", "tn"):
-        chunked = with_ranks(df, ["g"], column, running_count="c", rows_per_chunk=10)
+        chunked = with_ranks(df, ["g"], column, running_count="c", whole_rows=0, rows_per_chunk=10)
         assert rows(chunked) == rows(with_ranks(df, ["g"], column, running_count="c"))
 
 
@@ -56,10 +56,10 @@ def test_text_cannot_be_cut(skewed):
         cumulative(skewed, ["id"], "g", rows_per_chunk=10)
 
 
-@pytest.mark.parametrize("rows_per_chunk", [15, 10_000])
-def test_quantiles_equal_numpy(skewed, rows_per_chunk):
+@pytest.mark.parametrize("whole_rows, rows_per_chunk", [(0, 15), (0, 10_000), (1000, 15)])
+def test_quantiles_equal_numpy(skewed, whole_rows, rows_per_chunk):
     wanted = {"low": 0.1, "mid": 0.5, "high": 0.75, "top": 1.0}
-    found = exact_quantiles(skewed, "v", wanted, ["g"], rows_per_chunk=rows_per_chunk)
+    found = exact_quantiles(skewed, "v", wanted, ["g"], True, whole_rows, rows_per_chunk)
     by_group = {}
     for _, g, v in skewed.collect():
         if v is not None:
@@ -70,10 +70,12 @@ def test_quantiles_equal_numpy(skewed, rows_per_chunk):
         assert [row[n] for n in wanted] == pytest.approx(list(expected))
 
 
-def test_quantile_of_one_to_ten(spark):
+@pytest.mark.parametrize("whole_rows", [0, 100])
+def test_quantile_of_one_to_ten(spark, whole_rows):
     df = spark.range(1, 11)
-    assert exact_quantiles(df, "id", {"q": 0.75}).first()["q"] == 7.75
-    found = exact_quantiles(df, "id", {"a": 0.25, "b": 0.75, "c": 0.0}, interpolate=False, rows_per_chunk=3)
+    cut = dict(whole_rows=whole_rows, rows_per_chunk=3)
+    assert exact_quantiles(df, "id", {"q": 0.75}, **cut).first()["q"] == 7.75
+    found = exact_quantiles(df, "id", {"a": 0.25, "b": 0.75, "c": 0.0}, interpolate=False, **cut)
     assert tuple(found.first()) == (3, 8, 1)
 
 

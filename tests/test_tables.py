@@ -266,7 +266,7 @@ def test_pivot_names(spark):
 def test_top_n_and_summary(spark):
     df = spark.createDataFrame([(x,) for x in "bbaaac"], "x STRING")
     assert top_n_array(df, "x", 2, "top").first()["top"] == ["a", "b"]
-    found = summary(spark.range(1, 11), ["id"], rows_per_chunk=3).first()
+    found = summary(spark.range(1, 11), ["id"]).first()
     assert (found["n"], found["mean"], found["min"], found["max"]) == (10, 5.5, 1.0, 10.0)
     assert (found["q25"], found["q50"], found["q75"]) == (3.0, 5.0, 8.0)
 

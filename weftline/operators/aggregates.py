@@ -9,7 +9,7 @@ from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.ranking import CHUNK_ROWS, exact_quantiles
+from weftline.operators.ranking import exact_quantiles
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -58,28 +58,21 @@ def top_n_array(df: DataFrame, column: str, n: int, into: str) -> DataFrame:
     return best.agg(F.transform(pairs, lambda p: p["v"]).alias(into))
 
 
-def summary(
-    df: DataFrame, columns: Sequence[str], rows_per_chunk: int = CHUNK_ROWS
-) -> DataFrame:
+def summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per numeric column: n, mean, stddev, min, quartiles (exact, as data values), max.
 
-    The plain statistics of all columns come from one scan.
+    The plain statistics of all columns come from one scan, the quartiles from another.
     """
     plain = {"n": F.count, "mean": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max}
     wide = df.agg(*[f(c).cast("double").alias(f"{c}__{s}") for c in columns for s, f in plain.items()])
-    rows = F.array(
-        *[
-            F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{s}").alias(s) for s in plain])
-            for c in columns
-        ]
-    )
-    stats = wide.select(F.inline(rows)).withColumn("n", F.col("n").cast("long"))
-    quartiles = None
-    for c in columns:
-        part = exact_quantiles(
-            df.select(c), c, QUARTILES, interpolate=False, rows_per_chunk=rows_per_chunk
-        ).select(F.lit(c).alias("column_name"), *[F.col(q).cast("double").alias(q) for q in QUARTILES])
-        quartiles = part if quartiles is None else quartiles.unionByName(part)
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{s}").alias(s) for s in plain])
+        for c in columns
+    ]
+    stats = wide.select(F.inline(F.array(*rows))).withColumn("n", F.col("n").cast("long"))
+    values = df.select(*[F.col(c).cast("double") for c in columns])
+    values = values.unpivot([], list(columns), "column_name", "v")
+    quartiles = exact_quantiles(values, "v", QUARTILES, ["column_name"], interpolate=False)
     joined = stats.join(quartiles, "column_name")
     return joined.select("column_name", "n", "mean", "stddev", "min", *QUARTILES, "max")
 

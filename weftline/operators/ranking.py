@@ -1,9 +1,9 @@
 """Ranks, running counts, exact quantiles and top values for groups of any size.
 
 A plain analytic window sorts each group in one task, which fails when one group holds a large
-part of the table. Here equal values are counted first, the value range is cut into chunks at
-approximate quantiles, and only (group, chunk) pieces are sorted; the counts of the earlier
-chunks are then added. Approximate quantiles only decide where to cut, so results are exact.
+part of the table. Here equal values are counted first, the value range is cut into chunks of
+about equal size, and only (group, chunk) pieces are sorted; the counts of the earlier chunks are
+then added. Results are exact wherever the cuts fall.
 """
 
 from __future__ import annotations
@@ -16,12 +16,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_ROWS = 2_000_000
-MAX_CHUNKS = 4096
+# A group up to this size may be sorted by one task; beyond it the pieces are used.
+WHOLE_ROWS = 1_000_000
+CHUNK_ROWS = 100_000
+MAX_CHUNKS = 16_384
+SAMPLES_PER_CHUNK = 200
+PICKED_PIECES = 10_000
 
 
-def _as_double(df: DataFrame, name: str) -> Column:
-    """A non-decreasing map of the column to double, for cutting only."""
+def as_double(df: DataFrame, name: str) -> Column:
+    """A non-decreasing map of the column to double, for cutting only; times become microseconds."""
     kind = df.schema[name].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
@@ -30,6 +34,22 @@ def _as_double(df: DataFrame, name: str) -> Column:
     raise TypeError(f"{name} must be numeric or a time, not {kind.simpleString()}")
 
 
+def cut_points(df: DataFrame, name: str, rows: int, parts: int) -> list[float]:
+    """At most ``parts - 1`` rising values that cut the column into parts of about equal size.
+
+    Like Spark's own range partitioning this looks at a sample, as quantile sketches of a whole
+    large table are slow to merge. Where the cuts fall affects balance, never results.
+    """
+    if parts <= 1:
+        return []
+    share = min(1.0, parts * SAMPLES_PER_CHUNK / max(1, rows))
+    seen = df.select(as_double(df, name).alias("v"))
+    if share < 1.0:
+        seen = seen.sample(share, seed=7)
+    found = seen.approxQuantile("v", [i / parts for i in range(1, parts)], 1 / (4 * parts))
+    return sorted({p for p in found if math.isfinite(p)})
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on columns of the same name where NULL matches NULL; keeps the left keys."""
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
@@ -44,13 +64,8 @@ def add_chunk(df: DataFrame, value: str, rows: int, rows_per_chunk: int, into: s
 
     Rows with the same value share a piece; NULL, the smallest value, gets piece -1.
     """
-    chunks = min(MAX_CHUNKS, math.ceil(rows / rows_per_chunk))
-    cut = df.withColumn("__cut", _as_double(df, value))
-    points: list[float] = []
-    if chunks > 1:
-        fractions = [i / chunks for i in range(1, chunks)]
-        found = cut.approxQuantile("__cut", fractions, 1 / (4 * chunks))
-        points = sorted({p for p in found if math.isfinite(p)})
+    points = cut_points(df, value, rows, min(MAX_CHUNKS, math.ceil(rows / rows_per_chunk)))
+    cut = df.withColumn("__cut", as_double(df, value))
     if not points:
         return cut.withColumn(into, F.when(F.col("__cut").isNull(), -1).otherwise(0)).drop("__cut")
     splits = [-math.inf, *points, math.inf]
@@ -59,6 +74,22 @@ def add_chunk(df: DataFrame, value: str, rows: int, rows_per_chunk: int, into: s
     return bucketizer.transform(cut).withColumn(into, chunk).drop("__cut", "__chunk")
 
 
+def _pieces(df: DataFrame, groups: Sequence[str], sizes: Mapping[str, Column]) -> DataFrame:
+    """Per (group, chunk) and size: its amount, ``<size>_ahead`` in earlier chunks, ``group_<size>``."""
+    pieces = df.groupBy(*groups, "chunk").agg(*[size.alias(f"piece_{s}") for s, size in sizes.items()])
+    earlier = Window.partitionBy(*groups).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*groups)
+    columns = []
+    for s in sizes:
+        amount = F.col(f"piece_{s}")
+        columns += [
+            amount,
+            F.coalesce(F.sum(amount).over(earlier), F.lit(0)).alias(f"{s}_ahead"),
+            F.sum(amount).over(whole).alias(f"group_{s}"),
+        ]
+    return pieces.select(*groups, "chunk", *columns)
+
+
 def cumulative(
     df: DataFrame, groups: Sequence[str], value: str, rows_per_chunk: int = CHUNK_ROWS
 ) -> DataFrame:
@@ -68,27 +99,10 @@ def cumulative(
     value), ``position`` (1 for the smallest value), ``group_rows`` and ``group_values``.
     """
     groups = list(groups)
-    rows = df.count()
-    slim = df.select(*groups, value)
-    if rows > rows_per_chunk:
-        slim = add_chunk(slim, value, rows, rows_per_chunk)
-    else:
-        slim = slim.withColumn("chunk", F.lit(0))
+    slim = add_chunk(df.select(*groups, value), value, df.count(), rows_per_chunk)
     counts = slim.groupBy(*groups, "chunk", value).agg(F.count(F.lit(1)).alias("n"))
 
-    pieces = counts.groupBy(*groups, "chunk").agg(
-        F.sum("n").alias("piece_rows"), F.count(F.lit(1)).alias("piece_values")
-    )
-    earlier = Window.partitionBy(*groups).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*groups)
-    pieces = pieces.select(
-        *groups,
-        "chunk",
-        F.coalesce(F.sum("piece_rows").over(earlier), F.lit(0)).alias("rows_ahead"),
-        F.coalesce(F.sum("piece_values").over(earlier), F.lit(0)).alias("values_ahead"),
-        F.sum("piece_rows").over(whole).alias("group_rows"),
-        F.sum("piece_values").over(whole).alias("group_values"),
-    )
+    pieces = _pieces(counts, groups, {"rows": F.sum("n"), "values": F.count(F.lit(1))})
 
     inside = Window.partitionBy(*groups, "chunk").orderBy(value)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -125,17 +139,19 @@ def with_ranks(
     running_count: str | None = None,
     row_number: str | None = None,
     tie_break: str | None = None,
+    whole_rows: int = WHOLE_ROWS,
     rows_per_chunk: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add the named analytic columns over ``groups`` ordered by ``order_by``.
 
     ``running_count`` uses the default frame, so rows with equal order values share it.
-    ``row_number`` needs ``tie_break``, a column that is unique within the group.
+    ``row_number`` needs ``tie_break``, a column that is unique within the group. Plain windows
+    are used if no group has more than ``whole_rows`` rows.
     """
     groups = list(groups)
     if row_number and not tie_break:
         raise ValueError("row_number needs a unique tie_break column to be repeatable")
-    if largest_group(df, groups) <= rows_per_chunk:
+    if largest_group(df, groups) <= whole_rows:
         return _plain_ranks(
             df, groups, order_by, descending, rank, dense_rank, running_count, row_number, tie_break
         )
@@ -212,31 +228,70 @@ def exact_quantiles(
     quantiles: Mapping[str, float],
     groups: Sequence[str] = (),
     interpolate: bool = True,
+    whole_rows: int = WHOLE_ROWS,
     rows_per_chunk: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Exact quantiles of the non-null values, one column per entry of ``quantiles``.
 
     ``interpolate=True`` is linear between neighbours; ``False`` returns the smallest value whose
-    share of the rows reaches the quantile.
+    share of the rows reaches the quantile. If no group has more than ``whole_rows`` values, one
+    pass sorts each group as a whole; beyond that, two passes sort only the pieces that matter.
     """
     groups = list(groups)
-    table = cumulative(df.filter(F.col(value).isNotNull()), groups, value, rows_per_chunk)
-    rows, upto = F.col("group_rows"), F.col("before") + F.col("n")
+    known = df.filter(F.col(value).isNotNull()).select(*groups, value)
 
-    def at(index: Column) -> Column:
-        return F.min(F.when(upto > index, F.col(value)))
+    def indexes(p: float) -> list[Column]:
+        """The places, counted from 0, of the rows that decide the quantile."""
+        rows = F.col("group_rows")
+        if interpolate:
+            return [F.floor(F.lit(p) * (rows - 1)), F.ceil(F.lit(p) * (rows - 1))]
+        return [F.greatest(rows - F.floor(rows - F.lit(p) * rows), F.lit(1)) - 1]
+
+    if largest_group(known, groups) <= whole_rows:
+        whole = Window.partitionBy(*groups)
+        counts = known.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
+        so_far = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        upto, group_rows = F.sum("n").over(so_far), F.sum("n").over(whole)
+        table = counts.select("*", upto.alias("upto"), group_rows.alias("group_rows"))
+    else:
+        places = [index for p in quantiles.values() for index in indexes(p)]
+        table = _deciding_pieces(known, groups, value, places, rows_per_chunk)
 
     aggregates, outputs = [F.max("group_rows").alias("__rows")], []
     for name, p in quantiles.items():
+        hits = [(F.col("upto") - F.col("n") <= i) & (i < F.col("upto")) for i in indexes(p)]
+        ends = [f"__{k}_{name}" for k in range(len(hits))]
+        aggregates += [F.min(F.when(hit, F.col(value))).alias(e) for hit, e in zip(hits, ends)]
+        result = F.col(ends[0])
         if interpolate:
-            spot = F.lit(p) * (rows - 1)
-            aggregates += [at(F.floor(spot)).alias(f"__lo_{name}"), at(F.ceil(spot)).alias(f"__hi_{name}")]
-            end = F.lit(p) * (F.col("__rows") - 1)
-            share = end - F.floor(end)
-            low, high = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
-            outputs.append((low * (1 - share) + high * share).alias(name))
-        else:
-            index = F.greatest(rows - F.floor(rows - F.lit(p) * rows), F.lit(1)) - 1
-            aggregates.append(at(index).alias(f"__at_{name}"))
-            outputs.append(F.col(f"__at_{name}").alias(name))
+            spot = F.lit(p) * (F.col("__rows") - 1)
+            share = spot - F.floor(spot)
+            result = result * (1 - share) + F.col(ends[1]) * share
+        outputs.append(result.alias(name))
     return table.groupBy(*groups).agg(*aggregates).select(*groups, *outputs)
+
+
+def _deciding_pieces(
+    known: DataFrame, groups: list[str], value: str, places: list[Column], rows_per_chunk: int
+) -> DataFrame:
+    """Values with their counts, ``upto`` and ``group_rows``, for the pieces that hold a place.
+
+    The pieces are counted first, without a shuffle of rows; then only the chosen ones are sorted.
+    """
+    chunked = add_chunk(known, value, known.count(), rows_per_chunk)
+    begin, end = F.col("rows_ahead"), F.col("rows_ahead") + F.col("piece_rows")
+    wanted = F.lit(False)
+    for place in places:
+        wanted = wanted | ((place >= begin) & (place < end))
+    picked = _pieces(chunked, groups, {"rows": F.count(F.lit(1))}).filter(wanted)
+    picked = picked.select(*groups, "chunk", "rows_ahead", "group_rows")
+    few = picked.limit(PICKED_PIECES + 1).collect()
+    if len(few) <= PICKED_PIECES:
+        picked = F.broadcast(known.sparkSession.createDataFrame(few, picked.schema))
+    inside = null_safe_join(chunked, picked, [*groups, "chunk"])
+    counts = inside.groupBy(*groups, "chunk", "rows_ahead", "group_rows", value).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    so_far = Window.partitionBy(*groups, "chunk").orderBy(value)
+    so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counts.withColumn("upto", F.col("rows_ahead") + F.sum("n").over(so_far))

@@ -11,6 +11,7 @@ from weftline.operators import aggregates as A
 from weftline.operators import ranking as R
 from weftline.operators.sessions import sessions
 from weftline.plans.registry import query
+from weftline.session import spread
 
 # ---- aggregations ----
 
@@ -445,7 +446,8 @@ class Mean(Aggregator):
 
 @query("udaf_generic", _FLAG_AVG.format(more=""))
 def udaf_generic(t):
-    means = aggregate(t.lineitem, ["l_returnflag"], ["l_quantity"], Mean("l_quantity"), "avg_quantity")
+    lines = spread(t.lineitem.select("l_returnflag", "l_quantity"))
+    means = aggregate(lines, ["l_returnflag"], ["l_quantity"], Mean("l_quantity"), "avg_quantity")
     return means.withColumn("avg_quantity", F.round("avg_quantity", 6))
 
 
@@ -466,7 +468,8 @@ def map_groups(t):
 )
 def udtf_words(t):
     # Counted per (document, word) first, so a long document is not gathered word by word.
-    split = t.documents.select("doc_id", F.explode(words(F.col("text"))).alias("word"))
+    texts = spread(t.documents.select("doc_id", "text"))
+    split = texts.select("doc_id", F.explode(words(F.col("text"))).alias("word"))
     per_word = split.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
     return per_word.groupBy("doc_id").agg(
         F.sum("n").alias("n_words"),

@@ -13,6 +13,7 @@ from weftline.operators import filters
 from weftline.operators.sets import with_scaled_copy
 from weftline.plans.registry import query
 from weftline.schemas import EVENT_PROPS
+from weftline.session import spread
 
 # ---- projections ----
 
@@ -300,7 +301,8 @@ def fn_split_parse(t):
     (SELECT unnest(string_split(rtrim(text, ' '), ' ')) AS word FROM documents) GROUP BY word""",
 )
 def word_count(t):
-    split = t.documents.select(F.explode(C.words(F.col("text"))).alias("word"))
+    texts = spread(t.documents.select("text"))
+    split = texts.select(F.explode(C.words(F.col("text"))).alias("word"))
     return split.groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -311,7 +313,7 @@ def word_count(t):
     WHERE regexp_full_match(word, '[0-9]+') AND TRY_CAST(word AS INTEGER) IS NOT NULL GROUP BY ALL""",
 )
 def number_count(t):
-    return count_numbers(t.documents, "text")
+    return count_numbers(spread(t.documents.select("text")), "text")
 
 
 def count_numbers(df, column):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 from dataclasses import dataclass
 
@@ -10,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.operators.ranking import as_double, cut_points
 from weftline.session import scratch
 
 BATCH_BYTES = 512 * 2**30
@@ -70,38 +70,41 @@ def replay(
 ) -> Replay:
     """Write ``df`` as slices of rising ``order_by`` and describe the stream over them.
 
-    The slices are cut at approximate quantiles and written one after the other, so their files
-    have rising modification times, which is the order a file stream follows. Each slice is
-    written in parallel; large tables get more slices, so that a micro-batch stays bounded.
+    The slices are about equal in size and written one after the other, so their files have rising
+    modification times, which is the order a file stream follows. Each slice is written in
+    parallel; large tables get more slices, so that a micro-batch stays bounded.
     """
-    spark, rows = df.sparkSession, df.count()
+    spark = df.sparkSession
+    rows, top = df.agg(F.count(F.lit(1)), F.max(as_double(df, order_by))).first()
     slices = max(slices, math.ceil(rows / rows_per_slice))
-    fractions = [(i + 1) / slices for i in range(slices)]
-    found = df.agg(F.percentile_approx(order_by, fractions, 10_000)).first()[0]
-    bounds = sorted(set(found or []))
-    files = max(1, math.ceil(rows / max(1, len(bounds)) / rows_per_file))
+    cuts = [c for c in cut_points(df, order_by, rows, slices) if c < top]
+    files = max(1, math.ceil(rows / (len(cuts) + 1) / rows_per_file))
     path = scratch(spark, "replay")
-    for i, part in enumerate(_slices(df, order_by, bounds)):
+    for i, part in enumerate(_slices(df, order_by, cuts)):
         part.repartition(files).write.parquet(f"{path}/{i:04d}")
-    return Replay(spark, path, df.schema, files, max(1, len(bounds)))
-
-
-def _slices(df: DataFrame, order_by: str, bounds: list) -> list[DataFrame]:
-    """Rows up to each bound and above the one before; NULL belongs to the first slice."""
-    if not bounds:
-        return [df]
-    above = [(F.col(order_by) > F.lit(b)).cast("int") for b in bounds[:-1]]
-    number = F.coalesce(sum(above, F.lit(0)), F.lit(0)).alias("slice")
-    if len(bounds) <= FEW_SLICES:
-        parts = [df.filter(F.col(order_by).isNull() | (F.col(order_by) <= F.lit(bounds[0])))]
-        for low, high in itertools.pairwise(bounds):
-            parts.append(df.filter((F.col(order_by) > F.lit(low)) & (F.col(order_by) <= F.lit(high))))
+    return Replay(spark, path, df.schema, files, len(cuts) + 1)
+
+
+def _slices(df: DataFrame, order_by: str, cuts: list[float]) -> list[DataFrame]:
+    """Rows up to each cut and above the one before; NULL belongs to the first slice."""
+    is_number = isinstance(df.schema[order_by].dataType, T.NumericType)
+    bounds = [F.lit(c) if is_number else F.timestamp_micros(F.lit(int(c))) for c in cuts]
+    if not is_number:
+        bounds = [b.cast(df.schema[order_by].dataType) for b in bounds]
+    column = F.col(order_by)
+    if len(bounds) < FEW_SLICES:
+        parts = []
+        for low, high in zip([None, *bounds], [*bounds, None]):
+            inside = F.lit(True) if high is None else column <= high
+            inside = inside | column.isNull() if low is None else inside & (column > low)
+            parts.append(df.filter(inside))
         return parts
     # One pass that sorts rows into folders instead of one scan per slice.
+    number = F.coalesce(sum(((column > b).cast("int") for b in bounds), F.lit(0)), F.lit(0))
     staged = scratch(df.sparkSession, "slices")
-    df.select("*", number).write.partitionBy("slice").parquet(staged)
+    df.withColumn("slice", number).write.partitionBy("slice").parquet(staged)
     reader = df.sparkSession.read.schema(df.schema)
-    return [reader.parquet(f"{staged}/slice={i}") for i in range(len(bounds))]
+    return [reader.parquet(f"{staged}/slice={i}") for i in range(len(bounds) + 1)]
 
 
 def replay_batches(batches: list[DataFrame]) -> Replay:

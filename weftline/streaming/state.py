@@ -16,6 +16,7 @@ ALERT = "User is inactive"
 
 STATE = "active boolean, order long, seen long"
 FIRST = -(2**62)
+UNCHANGED = -1
 
 
 def _last_actions(df: DataFrame, key: str, action: str, order: str, time: str | None) -> DataFrame:
@@ -24,16 +25,16 @@ def _last_actions(df: DataFrame, key: str, action: str, order: str, time: str |
     This runs before the shuffle, so a hot key reaches its state task as a few rows per input
     task, not as all its events.
     """
-    schema = "key string, active boolean, order long, event_time timestamp"
+    schema = "key string, change int, order long" + (", event_time timestamp" if time else "")
     slim = df.select(
         # As text a key passes through pandas unchanged even if some keys are NULL.
         F.col(key).cast("string").alias("key"),
         F.when(F.col(action) == ACTIVE_ACTION, 1)
         .when(F.col(action) == INACTIVE_ACTION, 0)
-        .otherwise(-1)
+        .otherwise(UNCHANGED)
         .alias("change"),
         F.coalesce(F.col(order).cast("long"), F.lit(FIRST)).alias("order"),
-        (F.col(time) if time else F.lit(None).cast("timestamp")).alias("event_time"),
+        *([F.col(time).alias("event_time")] if time else []),
     )
 
     def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -41,12 +42,12 @@ def _last_actions(df: DataFrame, key: str, action: str, order: str, time: str |
             if rows.empty:
                 continue
             # Status changes sort behind other actions, so the last row of a key is its newest change.
-            rows["is_change"] = rows["change"] >= 0
-            rows["event_time"] = rows.groupby("key", dropna=False)["event_time"].transform("max")
+            rows["is_change"] = rows["change"] != UNCHANGED
+            if time:
+                rows["event_time"] = rows.groupby("key", dropna=False)["event_time"].transform("max")
             rows = rows.sort_values(["is_change", "order"], kind="stable")
             last = rows.groupby("key", dropna=False, sort=False).tail(1)
-            active = last["change"].map({1: True, 0: False, -1: None}).astype("object")
-            yield last.assign(active=active)[["key", "active", "order", "event_time"]]
+            yield last.drop(columns="is_change")
 
     return slim.mapInPandas(reduce, schema)
 
@@ -54,11 +55,13 @@ def _last_actions(df: DataFrame, key: str, action: str, order: str, time: str |
 def _merge(frames: Iterator[pd.DataFrame], active: bool, order: int, seen: int):
     """State after the partial rows of a key; they may come in any order."""
     for frame in frames:
-        for a, o, t in zip(frame["active"], frame["order"], frame["event_time"]):
-            if a is not None and not pd.isna(a) and o >= order:
-                active, order = bool(a), int(o)
-            if not pd.isna(t):
-                seen = max(seen, int(pd.Timestamp(t).timestamp() * 1000))
+        for change, place in zip(frame["change"].tolist(), frame["order"].tolist()):
+            if change != UNCHANGED and place >= order:
+                active, order = change == 1, place
+        if "event_time" in frame:
+            newest = frame["event_time"].max()
+            if not pd.isna(newest):
+                seen = max(seen, int(newest.timestamp() * 1000))
     return active, order, seen
 
 
