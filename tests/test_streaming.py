@@ -269,18 +269,20 @@ def actions(spark, batches):
     return replay_batches(frames).stream()
 
 
-def test_last_status_per_user(spark):
+@pytest.mark.parametrize("build", [state.track_status, state.last_status])
+def test_last_status_per_user(spark, build):
     data = [[("1", "move")], [("2", "idle"), ("3", "move")], [("1", "idle"), ("2", "move"), ("3", "move")]]
-    result = run(state.track_status(actions(spark, data), "userId", "action", "n"), "update")
+    result = run(build(actions(spark, data), "userId", "action", "n"), "update")
     assert rows(result.latest(["userId"])) == [("1", False), ("2", True), ("3", True)]
     # One output per key and batch.
     assert result.versions().count() == 6
 
 
-def test_status_follows_the_order_not_the_arrival(spark):
+@pytest.mark.parametrize("build", [state.track_status, state.last_status])
+def test_status_follows_the_order_not_the_arrival(spark, build):
     rows_out_of_order = [("1", "idle", 5), ("1", "move", 3), ("1", "look", 9), ("2", "look", 1), (None, "move", 1)]
     frames = [spark.createDataFrame([r], ACTION) for r in rows_out_of_order]
-    result = run(state.track_status(replay_batches(frames).stream(), "userId", "action", "n"), "update")
+    result = run(build(replay_batches(frames).stream(), "userId", "action", "n"), "update")
     assert rows(result.latest(["userId"])) == [("1", False), ("2", False), (None, True)]
 
 

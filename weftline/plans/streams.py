@@ -58,7 +58,7 @@ def with_sentinel(df, time, **values):
 
 @query("stream_file_count", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def stream_file_count(t):
-    counts = table_stream(t.spark, t.path("events"), max_files=1).groupBy("event_type")
+    counts = table_stream(t.spark, t.path("events"), max_files=1000).groupBy("event_type")
     return run(counts.agg(F.count("*").alias("n")), "complete").rows()
 
 
@@ -443,7 +443,7 @@ def user_actions(df):
 )
 def state_user_status(t):
     stream = replay(user_actions(timed_events(t)), "ts").stream()
-    return run(state.track_status(stream, "user_id", "action", "event_id"), "update").latest(["user_id"])
+    return run(state.last_status(stream, "user_id", "action", "event_id"), "update").latest(["user_id"])
 
 
 @query("state_event_timeout", "SELECT DISTINCT user_id, false AS active FROM events")

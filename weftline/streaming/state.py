@@ -19,6 +19,17 @@ FIRST = -(2**62)
 UNCHANGED = -1
 
 
+def last_status(stream: DataFrame, key: str, action: str, order: str) -> DataFrame:
+    """Whether each key is active by its newest status change, as a built-in aggregate.
+
+    Update mode emits (key, active) once per key and micro-batch. This needs no Python; use
+    ``track_status`` for alerts and time-outs.
+    """
+    is_change = F.col(action).isin(ACTIVE_ACTION, INACTIVE_ACTION)
+    newest = F.max_by(F.col(action) == ACTIVE_ACTION, F.when(is_change, F.col(order)))
+    return stream.groupBy(key).agg(F.coalesce(newest, F.lit(False)).alias("active"))
+
+
 def _last_actions(df: DataFrame, key: str, action: str, order: str, time: str | None) -> DataFrame:
     """Per Arrow batch and key one row: the newest status change and the newest time.
 
