@@ -40,7 +40,7 @@ def test_strategies(fact, dim):
 
 
 def test_broadcast_needs_a_small_side(spark, fact, dim):
-    assert joins.fits_broadcast(dim, 20) and not joins.fits_broadcast(dim, 19)
+    assert joins.has_at_most(dim, 20) and not joins.has_at_most(dim, 19)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
@@ -84,12 +84,23 @@ def test_pair_join_keeps_both_sides(fact, dim):
 def test_range_join_equals_brute_force(spark):
     r = random.Random(9)
     points = [(i, r.uniform(-50, 50)) for i in range(120)]
-    ranges = [(j, lo, lo + r.uniform(-2, 25)) for j, lo in enumerate(r.uniform(-60, 50) for _ in range(40))]
+    # Lengths from below one cell to several thousand, and some empty ranges.
+    lengths = [-2.0, 0.0, 0.01, 5.0, 25.0, 7.0, 224.0, 300.0, 9000.0, 60000.0]
+    ranges = [(j, lo, lo + lengths[j % 10]) for j, lo in enumerate(r.uniform(-60, 50) for _ in range(40))]
+    ranges += [(j + 40, lo - n / 2, hi) for (j, lo, hi), n in zip(ranges, lengths * 4)]
     p = spark.createDataFrame(points, "i INT, x DOUBLE")
     q = spark.createDataFrame(ranges, "j INT, lo DOUBLE, hi DOUBLE")
-    found = joins.range_join(p, q, "x", "lo", "hi", width=7.0)
     expected = sorted((i, j) for i, x in points for j, lo, hi in ranges if lo <= x < hi)
-    assert sorted(tuple(t) for t in found.select("i", "j").collect()) == expected
+    for width in (7.0, 0.5, 1e6):
+        found = joins.range_join(p, q, "x", "lo", "hi", width)
+        assert sorted(tuple(t) for t in found.select("i", "j").collect()) == expected
+
+
+def test_long_ranges_cover_few_cells(spark):
+    q = spark.createDataFrame([(0.0, 1e9)], "lo DOUBLE, hi DOUBLE")
+    p = spark.createDataFrame([(5e8,)], "x DOUBLE")
+    found = joins.range_join(p, q, "x", "lo", "hi", 1.0)
+    assert found.count() == 1
 
 
 def interval_rows(spark, seed=4):

@@ -15,7 +15,7 @@ from weftline.session import scratch
 from weftline.streaming import codecs, dedup, sinks, state
 from weftline.streaming.joins import stream_equi_join, stream_interval_join, with_table
 from weftline.streaming.progress import dropped_rows, progress_table
-from weftline.streaming.run import check_mode, finish, run, run_all, start
+from weftline.streaming.run import finish, run, run_all, start
 from weftline.streaming.sources import replay, replay_batches, table_stream, text_stream
 from weftline.streaming.windows import session_windowed, windowed
 
@@ -93,12 +93,14 @@ def test_update_mode_versions_and_latest(spark):
         result.rows()
 
 
-def test_modes_are_checked():
-    with pytest.raises(ValueError, match="needs an aggregation"):
-        check_mode("complete", aggregated=False, watermark=False)
-    with pytest.raises(ValueError, match="needs a watermark"):
-        check_mode("append", aggregated=True, watermark=False)
-    check_mode("append", aggregated=True, watermark=True)
+def test_impossible_modes_are_rejected(spark):
+    stream = replay_batches([spark.range(2)]).stream()
+    with pytest.raises(Exception, match="omplete"):
+        run(stream, "complete")
+    with pytest.raises(Exception, match="watermark"):
+        run(stream.groupBy("id").count(), "append")
+    with pytest.raises(ValueError, match="mode must be one of"):
+        run(stream, "replace")
 
 
 # ---- sources ----

@@ -58,6 +58,15 @@ def top_n_array(df: DataFrame, column: str, n: int, into: str) -> DataFrame:
     return best.agg(F.transform(pairs, lambda p: p["v"]).alias(into))
 
 
+def approximate_quantiles(
+    df: DataFrame, value: str, quantiles: Mapping[str, float], groups: Sequence[str] = (), accuracy: int = 1000
+) -> DataFrame:
+    """Quantiles whose rank is off by at most ``1 / accuracy`` of the rows, from one mergeable sketch."""
+    found = F.percentile_approx(value, list(quantiles.values()), accuracy)
+    sketched = df.groupBy(*groups).agg(found.alias("__q"))
+    return sketched.select(*groups, *[F.col("__q")[i].alias(name) for i, name in enumerate(quantiles)])
+
+
 def summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per numeric column: n, mean, stddev, min, quartiles (exact, as data values), max.
 
@@ -72,7 +81,9 @@ def summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     stats = wide.select(F.inline(F.array(*rows))).withColumn("n", F.col("n").cast("long"))
     values = df.select(*[F.col(c).cast("double") for c in columns])
     values = values.unpivot([], list(columns), "column_name", "v")
-    quartiles = exact_quantiles(values, "v", QUARTILES, ["column_name"], interpolate=False)
+    quartiles = exact_quantiles(
+        values, "v", QUARTILES, ["column_name"], interpolate=False, largest=df.count()
+    )
     joined = stats.join(quartiles, "column_name")
     return joined.select("column_name", "n", "mean", "stddev", "min", *QUARTILES, "max")
 

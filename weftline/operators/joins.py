@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
+CELL_STEP = 32
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; stops counting one row beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def has_at_most(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows.
+
+    ``take`` reads a few partitions at a time and stops one row beyond the limit; the rows it
+    brings to the driver have one constant column.
+    """
+    return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
 
 
 def broadcast_join(
     left: DataFrame, right: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Join with ``right`` broadcast if it is proven small, else as Catalyst and AQE decide."""
-    if fits_broadcast(right, max_rows):
+    if has_at_most(right, max_rows):
         right = F.broadcast(right)
     return left.join(right, on, how)
 
@@ -124,19 +130,29 @@ def salted_join(
 def range_join(
     points: DataFrame, ranges: DataFrame, point: str, low: str, high: str, width: float
 ) -> DataFrame:
-    """Pairs with ``low <= point < high``, as an equi-join on cells of ``width``.
+    """Pairs with ``low <= point < high``, as an equi-join on cells.
 
     Each range is repeated for the cells it covers and a point lies in exactly one cell, so no
-    pair is found twice and none is lost. Choose ``width`` near the usual length of a range.
+    pair is found twice and none is lost. Cells have the given ``width``, best near the usual
+    length of a range. A range too long for that uses cells that are wider by powers of
+    ``CELL_STEP``, so it never covers more than a few dozen; points are repeated once per cell
+    size in use.
     """
-    cell = F.floor(F.col(point) / F.lit(width)).cast("long")
-    first = F.floor(F.col(low) / F.lit(width)).cast("long")
-    last = F.floor(F.col(high) / F.lit(width)).cast("long")
-    left = points.withColumn("__cell", cell)
-    covered = ranges.filter(F.col(low) < F.col(high))
-    covered = covered.withColumn("__cell", F.explode(F.sequence(first, last)))
+    steps = F.log((F.col(high) - F.col(low)) / F.lit(width)) / F.lit(math.log(CELL_STEP))
+    level = F.greatest(F.ceil(steps) - 1, F.lit(0)).cast("int")
+    covered = ranges.filter(F.col(low) < F.col(high)).withColumn("__level", level)
+    top = covered.agg(F.max("__level")).first()[0] or 0
+
+    def cell(value: Column) -> Column:
+        size = F.lit(float(width)) * F.pow(F.lit(float(CELL_STEP)), F.col("__level"))
+        return F.floor(value / size).cast("long")
+
+    cells = F.sequence(cell(F.col(low)), cell(F.col(high)))
+    covered = covered.withColumn("__cell", F.explode(cells))
+    levels = F.array(*[F.lit(i) for i in range(top + 1)])
+    left = points.withColumn("__level", F.explode(levels)).withColumn("__cell", cell(F.col(point)))
     inside = (F.col(point) >= F.col(low)) & (F.col(point) < F.col(high))
-    return left.join(covered, "__cell").filter(inside).drop("__cell")
+    return left.join(covered, ["__level", "__cell"]).filter(inside).drop("__level", "__cell")
 
 
 def interval_join(

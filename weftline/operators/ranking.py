@@ -230,12 +230,14 @@ def exact_quantiles(
     interpolate: bool = True,
     whole_rows: int = WHOLE_ROWS,
     rows_per_chunk: int = CHUNK_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """Exact quantiles of the non-null values, one column per entry of ``quantiles``.
 
     ``interpolate=True`` is linear between neighbours; ``False`` returns the smallest value whose
     share of the rows reaches the quantile. If no group has more than ``whole_rows`` values, one
     pass sorts each group as a whole; beyond that, two passes sort only the pieces that matter.
+    ``largest``, a bound on the rows of a group, saves counting them.
     """
     groups = list(groups)
     known = df.filter(F.col(value).isNotNull()).select(*groups, value)
@@ -247,7 +249,7 @@ def exact_quantiles(
             return [F.floor(F.lit(p) * (rows - 1)), F.ceil(F.lit(p) * (rows - 1))]
         return [F.greatest(rows - F.floor(rows - F.lit(p) * rows), F.lit(1)) - 1]
 
-    if largest_group(known, groups) <= whole_rows:
+    if (largest_group(known, groups) if largest is None else largest) <= whole_rows:
         whole = Window.partitionBy(*groups)
         counts = known.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
         so_far = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -202,6 +202,11 @@ def quantile_exact_rank(t):
     return R.exact_quantiles(t.orders, "o_totalprice", wanted, ["o_orderpriority"], interpolate=False)
 
 
+@query("quantile_approx")
+def quantile_approx(t):
+    return A.approximate_quantiles(t.orders, "o_totalprice", {"q25": 0.25, "q75": 0.75}, ["o_orderpriority"])
+
+
 @query(
     "quantile_interp",
     """SELECT round(quantile_cont(l_extendedprice, 0.75), 4) AS p75, round(quantile_cont(l_extendedprice, 0.9), 4) AS p90

@@ -10,6 +10,8 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Scratch folders made for sessions that name none, by application id (local masters only).
 _own_folders: dict[str, str] = {}
 
@@ -31,6 +33,11 @@ def build_session(
     )
     if master:
         builder = builder.master(master)
+    if not (master or "").startswith("local"):
+        # Large state belongs on disk, not in the executors' heap.
+        builder = builder.config("spark.sql.streaming.stateStore.providerClass", ROCKSDB).config(
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
+        )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in conf.items():

@@ -149,11 +149,3 @@ def run_all(streams: Sequence[tuple[str, DataFrame, str]]) -> dict[str, StreamRe
     finally:
         for *_, query in started:
             query.stop()
-
-
-def check_mode(mode: str, aggregated: bool, watermark: bool) -> None:
-    """Reject output modes that Spark would reject when the query starts, or that never emit."""
-    if mode == "complete" and not aggregated:
-        raise ValueError("complete mode needs an aggregation")
-    if mode == "append" and aggregated and not watermark:
-        raise ValueError("append mode of an aggregation needs a watermark")
