@@ -22,10 +22,11 @@ def skewed(spark):
     return spark.createDataFrame(data, "id INT, g STRING, v DOUBLE").repartition(5).cache()
 
 
+@pytest.mark.parametrize("whole_rows", [0, 150])
 @pytest.mark.parametrize("descending", [False, True])
-def test_ranks_equal_plain_windows(skewed, descending):
+def test_ranks_equal_plain_windows(skewed, descending, whole_rows):
     wanted = dict(rank="r", dense_rank="d", running_count="c", row_number="n", tie_break="id")
-    chunked = with_ranks(skewed, ["g"], "v", descending, **wanted, whole_rows=0, rows_per_chunk=20)
+    chunked = with_ranks(skewed, ["g"], "v", descending, **wanted, whole_rows=whole_rows, rows_per_chunk=20)
     plain = with_ranks(skewed, ["g"], "v", descending, **wanted)
     assert chunked.dtypes == plain.dtypes
     assert rows(chunked) == rows(plain)

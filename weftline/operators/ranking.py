@@ -55,7 +55,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
     condition = F.lit(True)
     for k in keys:
-        condition = condition & left[k].eqNullSafe(renamed[f"__r_{k}"])
+        condition = condition & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
     return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
 
 
@@ -145,48 +145,77 @@ def with_ranks(
     """Add the named analytic columns over ``groups`` ordered by ``order_by``.
 
     ``running_count`` uses the default frame, so rows with equal order values share it.
-    ``row_number`` needs ``tie_break``, a column that is unique within the group. Plain windows
-    are used if no group has more than ``whole_rows`` rows.
+    ``row_number`` needs ``tie_break``, a column that is unique within the group and not NULL.
+    Groups of up to ``whole_rows`` rows are ranked by plain windows.
     """
     groups = list(groups)
     if row_number and not tie_break:
         raise ValueError("row_number needs a unique tie_break column to be repeatable")
-    if largest_group(df, groups) <= whole_rows:
-        return _plain_ranks(
-            df, groups, order_by, descending, rank, dense_rank, running_count, row_number, tie_break
-        )
+    names = dict(rank=rank, dense_rank=dense_rank, running_count=running_count, row_number=row_number)
+    spec = dict(order_by=order_by, descending=descending, tie_break=tie_break, **names)
+    if not groups:
+        if df.count() <= whole_rows:
+            return _plain_ranks(df, groups, **spec)
+        return _chunked_ranks(df, groups, whole_rows, rows_per_chunk, **spec)
+
+    sizes = df.groupBy(*groups).count().filter(F.col("count") > whole_rows).select(*groups)
+    large = sizes.limit(PICKED_PIECES + 1).collect()
+    if not large:
+        return _plain_ranks(df, groups, **spec)
+    if len(large) > PICKED_PIECES:
+        return _chunked_ranks(df, groups, whole_rows, rows_per_chunk, **spec)
+    # Only the large groups take the longer way.
+    listed = F.broadcast(df.sparkSession.createDataFrame(large, sizes.schema))
+    others = null_safe_join(df, listed, groups, "left_anti")
+    hot = null_safe_join(df, listed, groups, "left_semi")
+    return _plain_ranks(others, groups, **spec).unionByName(
+        _chunked_ranks(hot, groups, whole_rows, rows_per_chunk, **spec)
+    )
+
 
+def _chunked_ranks(
+    df,
+    groups,
+    whole_rows,
+    rows_per_chunk,
+    order_by,
+    descending,
+    rank,
+    dense_rank,
+    running_count,
+    row_number,
+    tie_break,
+) -> DataFrame:
+    keys = [*groups, order_by]
     table = cumulative(df, groups, order_by, rows_per_chunk)
     after = F.col("group_rows") - F.col("before") - F.col("n")
     ahead = after if descending else F.col("before")
-    position = (
-        F.col("group_values") - F.col("position") + 1 if descending else F.col("position")
-    )
-    added = {
-        rank: ahead + 1,
-        dense_rank: position,
-        running_count: ahead + F.col("n"),
-        "__ahead": ahead if row_number else None,
-    }
-    columns = [c.alias(name) for name, c in added.items() if name and c is not None]
-    keys = [*groups, order_by]
-    out = null_safe_join(df, table.select(*keys, *columns), keys)
+    position = F.col("group_values") - F.col("position") + 1 if descending else F.col("position")
+    columns = []
+    if rank:
+        columns.append((ahead + 1).cast("int").alias(rank))
+    if dense_rank:
+        columns.append(position.cast("int").alias(dense_rank))
+    if running_count:
+        columns.append((ahead + F.col("n")).alias(running_count))
+    rows = df
+    if row_number:
+        # Rows of equal value may again be many: they are numbered by the tie break in the same way.
+        rows = with_ranks(
+            df, keys, tie_break, rank="__tie", whole_rows=whole_rows, rows_per_chunk=rows_per_chunk
+        )
+        columns.append(ahead.alias("__ahead"))
+    out = null_safe_join(rows, table.select(*keys, *columns), keys)
     if row_number:
-        # Equal values may again be many: number them by the tie break in the same way.
-        ties = cumulative(df, keys, tie_break, rows_per_chunk)
-        ties = ties.select(*keys, tie_break, F.col("before").alias("__tie"))
-        out = null_safe_join(out, ties, [*keys, tie_break])
-        out = out.withColumn(row_number, F.col("__ahead") + F.col("__tie") + 1)
-        out = out.drop("__ahead", "__tie")
-    for name in (rank, dense_rank, row_number):
-        if name:
-            out = out.withColumn(name, F.col(name).cast("int"))
-    return out.select(*df.columns, *[c for c in (rank, dense_rank, running_count, row_number) if c])
+        out = out.withColumn(row_number, (F.col("__ahead") + F.col("__tie")).cast("int"))
+    added = [c for c in (rank, dense_rank, running_count, row_number) if c]
+    return out.select(*df.columns, *added)
 
 
 def _plain_ranks(
     df, groups, order_by, descending, rank, dense_rank, running_count, row_number, tie_break
 ) -> DataFrame:
+    """Spark's analytic functions, which sort each group in one task."""
     key = F.col(order_by).desc() if descending else F.col(order_by).asc()
     w = Window.partitionBy(*groups).orderBy(key)
     columns = []
