@@ -64,13 +64,17 @@ def cast_by_type(df: DataFrame, source: type[T.DataType], target: str) -> DataFr
     )
 
 
-def hash_percent(*columns: str) -> Column:
-    """A stable number from 0 to 99 per key, the same on any partitioning and in other engines."""
-    text = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 100
+def stable_number(below: int, *columns: str | int) -> Column:
+    """A number from 0 to ``below - 1`` that depends only on the given columns and constants.
+
+    The same on any partitioning and in any engine with MD5.
+    """
+    parts = [F.lit(c) if isinstance(c, int) else F.col(c) for c in columns]
+    text = F.concat_ws("|", *[p.cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % below
 
 
 def hash_split(df: DataFrame, key: str, percent: int) -> tuple[DataFrame, DataFrame]:
     """Two disjoint parts by key hash; unlike ``randomSplit`` it repeats on any partitioning."""
-    score = hash_percent(key)
+    score = stable_number(100, key)
     return df.filter(score < percent), df.filter(score >= percent)

@@ -150,7 +150,11 @@ def src_range(t):
     return joined.select("id", "square", "o_totalprice")
 
 
-@query("src_synth_usage")
+@query(
+    "src_synth_usage",
+    """SELECT c_custkey AS uid, 'user-' || c_custkey AS uname,
+        CAST(CAST('0x' || substr(md5(c_custkey || '|42'), 1, 8) AS BIGINT) % 1000 AS INTEGER) AS usage FROM customer""",
+)
 def src_synth_usage(t):
     return readers.synthetic_usage(t.customer, "c_custkey")
 

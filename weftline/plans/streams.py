@@ -6,7 +6,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from weftline.functions.columns import bucketize, split_field, words
+from weftline.functions.columns import bucketize, split_field, stable_number, words
 from weftline.operators.joins import hot_keys
 from weftline.plans.joining import (
     INTERVAL_SECONDS,
@@ -120,14 +120,22 @@ def encode_kv(t):
     return rows.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
-@query("stream_sensor_gen")
+_HASH = "CAST('0x' || substr(md5(event_id || '|{seed}'), 1, 8) AS BIGINT)"
+
+
+@query(
+    "stream_sensor_gen",
+    f"""SELECT event_id, CAST(event_id % 3 + 1 AS INTEGER) AS device_id,
+        CAST(20 + {_HASH.format(seed=1)} % 61 AS INTEGER) AS temperature,
+        CAST({_HASH.format(seed=2)} % 101 AS INTEGER) AS humidity, ts AS event_time FROM events""",
+)
 def stream_sensor_gen(t):
     tick = F.col("event_id")
     readings = event_stream(t).select(
         tick,
         (tick % 3 + 1).cast("int").alias("device_id"),
-        (20 + F.pmod(F.xxhash64(tick), F.lit(61))).cast("int").alias("temperature"),
-        (F.rand(7) * 100).alias("humidity"),
+        (20 + stable_number(61, "event_id", 1)).cast("int").alias("temperature"),
+        stable_number(101, "event_id", 2).cast("int").alias("humidity"),
         F.col("ts").cast("timestamp_ntz").alias("event_time"),
     )
     return run(readings).rows()
@@ -457,7 +465,12 @@ def state_event_timeout(t):
     return run(status, "update").latest(["user_id"]).filter(F.col("user_id").isNotNull())
 
 
-@query("state_alerts")
+@query(
+    "state_alerts",
+    """SELECT user_id, 'User is inactive' AS message FROM events GROUP BY user_id
+    HAVING coalesce(arg_max(event_type, event_id) FILTER (event_type IN ('click', 'error')) <> 'click', true)""",
+)
 def state_alerts(t):
-    stream = replay(user_actions(timed_events(t)), "ts").stream()
+    # In one micro-batch, so that each user is judged once, after the last event.
+    stream = replay(user_actions(timed_events(t)), "ts", slices=1).stream()
     return run(state.track_status(stream, "user_id", "action", "event_id", alerts=True), "append").rows()

@@ -10,7 +10,17 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# For clusters. Batch shuffles start with many partitions, which AQE merges to about 128 MB each;
+# state partitions of streams follow spark.sql.shuffle.partitions instead, fixed at the first start.
+# Large state belongs on disk, not in the executors' heap.
+CLUSTER = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 # Scratch folders made for sessions that name none, by application id (local masters only).
 _own_folders: dict[str, str] = {}
@@ -21,8 +31,7 @@ def build_session(
 ) -> SparkSession:
     """A session with the settings the operators expect: UTC, AQE and AQE skew handling.
 
-    On a cluster leave ``master`` and ``shuffle_partitions`` unset: ``spark-submit`` names the
-    master, and AQE merges small shuffle partitions, so the count is only an upper bound.
+    On a cluster leave ``master`` unset, as ``spark-submit`` names it; ``CLUSTER`` is then added.
     """
     builder = (
         SparkSession.builder.appName(name)
@@ -34,10 +43,8 @@ def build_session(
     if master:
         builder = builder.master(master)
     if not (master or "").startswith("local"):
-        # Large state belongs on disk, not in the executors' heap.
-        builder = builder.config("spark.sql.streaming.stateStore.providerClass", ROCKSDB).config(
-            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
-        )
+        for key, value in CLUSTER.items():
+            builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in conf.items():

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.functions.columns import stable_number
 from weftline.schemas import require_schema, schema_of
 
 
@@ -59,11 +60,10 @@ def number_range(spark: SparkSession, start: int, end: int, into: str = "id") ->
 
 def synthetic_usage(keys: DataFrame, key: str, seed: int = 42, top: int = 1000) -> DataFrame:
     """A usage row per key: name and a usage below ``top`` that depend on key and seed only."""
-    spread = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(top)).cast("int")
     return keys.select(
         F.col(key).alias("uid"),
         F.concat(F.lit("user-"), F.col(key).cast("string")).alias("uname"),
-        spread.alias("usage"),
+        stable_number(top, key, seed).cast("int").alias("usage"),
     )
 
 
