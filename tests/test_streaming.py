@@ -15,7 +15,7 @@ from weftline.session import scratch
 from weftline.streaming import codecs, dedup, sinks, state
 from weftline.streaming.joins import stream_equi_join, stream_interval_join, with_table
 from weftline.streaming.progress import dropped_rows, progress_table
-from weftline.streaming.run import finish, run, run_all, start
+from weftline.streaming.run import finish, run, run_all, settings, start
 from weftline.streaming.sources import replay, replay_batches, table_stream, text_stream
 from weftline.streaming.windows import session_windowed, windowed
 
@@ -386,6 +386,15 @@ def test_one_failing_query_stops_the_others(spark):
     assert not spark.streams.active
 
 
+def test_settings_are_put_back(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with pytest.raises(RuntimeError), settings(spark, {name: "77", "spark.weftline.x": "1"}):
+        assert spark.conf.get(name) == "77"
+        raise RuntimeError
+    assert spark.conf.get(name) == before and spark.conf.get("spark.weftline.x", None) is None
+
+
 def test_progress_as_a_table(spark, sensors):
     counts = windowed(sensors.stream(), "eventTime", "2 minutes", ["device_id"], watermark="2 minutes")
     table = progress_table(spark, run(counts, "update").progress)

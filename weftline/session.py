@@ -88,8 +88,8 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """``df`` in at least as many partitions as there are cores.
 
-    For work that is heavy per row over a table of few, unsplittable files. A table that already
-    has enough partitions is left as it is, without a shuffle.
+    For work that is heavy per row over a table of few, unsplittable files; ``df`` should be a plain
+    scan. A table that already has enough partitions is left as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -1 +1 @@
-
+"""Structured Streaming: sources, runs, windows, joins, state and sinks."""

@@ -54,6 +54,30 @@ class StreamResult:
         return last.select(*keys, *[f"row.{c}" for c in data])
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the block; a query keeps those it was started with."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def state_partitions(spark: SparkSession) -> dict[str, str]:
+    """The setting for a new stateful query: no more state partitions than cores.
+
+    Each costs a commit per micro-batch. The count is fixed by the first start of a checkpoint, so
+    a long-running query should be given one that fits its later size.
+    """
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cores = spark.sparkContext.defaultParallelism
+    return {"spark.sql.shuffle.partitions": str(min(wanted, max(2, cores)))}
+
+
 def start(
     df: DataFrame,
     mode: str,
@@ -62,11 +86,13 @@ def start(
     name: str | None = None,
     every: str | None = None,
     on_batch: Callable[[DataFrame, int], None] | None = None,
+    conf: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Start a query: parquet files in append mode, else one folder per micro-batch.
 
     Without ``every`` the query handles what is there and ends. A repeated batch overwrites its
-    own folder, so a restart after a failure leaves no duplicates.
+    own folder, so a restart after a failure leaves no duplicates. ``conf`` holds session settings
+    for this query, besides those of ``state_partitions``.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode}")
@@ -74,13 +100,17 @@ def start(
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    if mode == "append" and on_batch is None:
-        return writer.format("parquet").option("path", path).start()
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    return writer.foreachBatch(on_batch or write).start()
+    if mode == "append" and on_batch is None:
+        writer = writer.format("parquet").option("path", path)
+    else:
+        writer = writer.foreachBatch(on_batch or write)
+    spark = df.sparkSession
+    with settings(spark, {**state_partitions(spark), **(conf or {})}):
+        return writer.start()
 
 
 def finish(query: StreamingQuery, timeout: float | None = None) -> list:
@@ -97,19 +127,6 @@ def finish(query: StreamingQuery, timeout: float | None = None) -> list:
         query.stop()
 
 
-@contextmanager
-def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
-    """Session settings for the block; a query keeps those it was started with."""
-    before = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def run(
     df: DataFrame, mode: str = "append", name: str | None = None, conf: Mapping[str, str] | None = None
 ) -> StreamResult:
@@ -122,9 +139,8 @@ def run(
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
         batches.append(number)
 
-    with settings(spark, conf or {}):
-        query = start(df, mode, path, checkpoint, name, on_batch=None if mode == "append" else write)
-        progress = finish(query)
+    on_batch = None if mode == "append" else write
+    progress = finish(start(df, mode, path, checkpoint, name, on_batch=on_batch, conf=conf))
     return StreamResult(spark, path, df.schema, mode, batches, progress)
 
 
