@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from weftline.operators import joins, sets
 from weftline.session import scratch
 from weftline.sources.writers import write_bucketed
+from weftline.streaming.run import settings
 
 
 def plan(df):
@@ -124,6 +125,36 @@ def test_interval_join_equals_brute_force(spark, seconds):
     assert sorted((tuple(t) for t in outer.collect()), key=repr) == sorted(expected, key=repr)
 
 
+def test_full_join_of_a_hot_key_is_split(spark):
+    """AQE splits the hot partition of the left join that a full join is built from."""
+    hot = spark.range(0, 60_000, 1, 8).select(
+        "id", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), F.repeat(F.lit("x"), 50).alias("pad")
+    )
+    other = spark.range(0, 60_000, 1, 8).select(F.col("id").alias("dk"), F.lit("y").alias("name"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    }
+    with settings(spark, conf):
+        joined = joins.full_join(hot, other, "k", "dk")
+        assert joined.count() == 60_000 + 20_000
+        found = joined.filter("k IS NOT NULL")
+        found.collect()
+        assert "skew=true" in plan(found)
+
+
+def test_cells_spread_a_hot_key(spark):
+    _, _, a, b = interval_rows(spark)
+    text = plan(joins.interval_join(a, b, "a", "b", "ta", "tb", 60))
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+    # The equi-join has two keys: the user and the time cell.
+    keys = [line for line in text.splitlines() if "Join [" in line][0]
+    assert "__lcell" in keys and "__rcell" in keys
+
+
 def test_equal_buckets_need_no_shuffle(spark, fact, dim):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
