@@ -122,13 +122,6 @@ def cumulative(
     )
 
 
-def largest_group(df: DataFrame, groups: Sequence[str]) -> int:
-    """Rows of the largest group; counted map-side, one number reaches the driver."""
-    if not groups:
-        return df.count()
-    return df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
-
-
 def with_ranks(
     df: DataFrame,
     groups: Sequence[str],
@@ -259,14 +252,12 @@ def exact_quantiles(
     interpolate: bool = True,
     whole_rows: int = WHOLE_ROWS,
     rows_per_chunk: int = CHUNK_ROWS,
-    largest: int | None = None,
 ) -> DataFrame:
     """Exact quantiles of the non-null values, one column per entry of ``quantiles``.
 
     ``interpolate=True`` is linear between neighbours; ``False`` returns the smallest value whose
     share of the rows reaches the quantile. If no group has more than ``whole_rows`` values, one
     pass sorts each group as a whole; beyond that, two passes sort only the pieces that matter.
-    ``largest``, a bound on the rows of a group, saves counting them.
     """
     groups = list(groups)
     known = df.filter(F.col(value).isNotNull()).select(*groups, value)
@@ -278,12 +269,22 @@ def exact_quantiles(
             return [F.floor(F.lit(p) * (rows - 1)), F.ceil(F.lit(p) * (rows - 1))]
         return [F.greatest(rows - F.floor(rows - F.lit(p) * rows), F.lit(1)) - 1]
 
-    if (largest_group(known, groups) if largest is None else largest) <= whole_rows:
-        whole = Window.partitionBy(*groups)
+    sizes = known.groupBy(*groups).agg(F.count(F.lit(1)).alias("group_rows"))
+    few = sizes.limit(PICKED_PIECES + 1).collect()
+    if len(few) <= PICKED_PIECES:
+        largest = max((row["group_rows"] for row in few), default=0)
+        sizes = F.broadcast(df.sparkSession.createDataFrame(few, sizes.schema))
+    else:
+        largest = sizes.agg(F.max("group_rows")).first()[0]
+    if largest <= whole_rows:
         counts = known.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
-        so_far = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        upto, group_rows = F.sum("n").over(so_far), F.sum("n").over(whole)
-        table = counts.select("*", upto.alias("upto"), group_rows.alias("group_rows"))
+        so_far = Window.partitionBy(*groups).orderBy(value)
+        so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        table = counts.withColumn("upto", F.sum("n").over(so_far))
+        if groups:
+            table = null_safe_join(table, sizes, groups)
+        else:
+            table = table.withColumn("group_rows", F.lit(largest).cast("bigint"))
     else:
         places = [index for p in quantiles.values() for index in indexes(p)]
         table = _deciding_pieces(known, groups, value, places, rows_per_chunk)
