@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import pickle
 
 import numpy as np
 import pyarrow as pa
@@ -12,50 +13,66 @@ from pyspark.sql import functions as F
 from weftline.session import settle
 
 # The forest: trees, vectors that it is fitted on at most, and vectors of these per leaf.
-TREES, SAMPLE, LEAF = 24, 50_000, 48
+TREES, SAMPLE, LEAF = 32, 50_000, 32
 # Leaves that a query visits, over all trees.
-VISITS = 160
+VISITS = 900
 SEED = 7
 
 
-class Forest:
-    """Random-projection trees: each node splits at the median along the line between two vectors."""
-
-    def __init__(self, vectors: np.ndarray, trees: int = TREES, leaf: int = LEAF, seed: int = SEED):
-        rng = np.random.default_rng(seed)
-        self.normals, self.cuts, self.left, self.right, self.roots, self.leaves = [], [], [], [], [], 0
-        for _ in range(trees):
-            self.roots.append(self._grow(vectors, np.arange(len(vectors)), leaf, rng))
-        dims = vectors.shape[1]
-        self.normals = np.array(self.normals, dtype=np.float32).reshape(-1, dims)
-        self.cuts = np.array(self.cuts, dtype=np.float32)
-        self.left, self.right = np.array(self.left, dtype=np.int64), np.array(self.right, dtype=np.int64)
-
-    def _grow(self, vectors: np.ndarray, rows: np.ndarray, leaf: int, rng) -> int:
-        """The node's number; leaves are negative."""
-        if len(rows) > leaf:
+class Tree:
+    """A random-projection tree: each node splits at the median along the line between two vectors.
+
+    ``left`` and ``right`` hold nodes, or leaves as negative numbers; ``root`` likewise.
+    """
+
+    def __init__(self, vectors: np.ndarray, leaf: int, seed: int):
+        self.rng, self.leaf, self.leaves = np.random.default_rng(seed), leaf, 0
+        self.normals, self.cuts, self.left, self.right = [], [], [], []
+        self.root = self._grow(vectors, np.arange(len(vectors)))
+
+    def _grow(self, vectors: np.ndarray, rows: np.ndarray) -> int:
+        if len(rows) > self.leaf:
             for _ in range(4):
-                a, b = vectors[rng.choice(rows, 2, replace=False)]
-                side = a - b
-                norm = float(np.linalg.norm(side))
-                if norm == 0:
-                    continue
-                along = vectors[rows] @ (side / norm)
+                a, b = vectors[self.rng.choice(rows, 2, replace=False)]
+                norm = float(np.linalg.norm(a - b))
+                side = (a - b) / norm if norm else a
+                along = vectors[rows] @ side
                 cut = float(np.median(along))
                 low = along <= cut
-                if low.all() or not low.any():
+                if norm == 0 or low.all():
                     continue
                 node = len(self.cuts)
-                self.normals.append(side / norm)
-                self.cuts.append(cut)
-                self.left.append(0)
-                self.right.append(0)
-                self.left[node] = self._grow(vectors, rows[low], leaf, rng)
-                self.right[node] = self._grow(vectors, rows[~low], leaf, rng)
+                for column, value in ((self.normals, side), (self.cuts, cut), (self.left, 0), (self.right, 0)):
+                    column.append(value)
+                self.left[node] = self._grow(vectors, rows[low])
+                self.right[node] = self._grow(vectors, rows[~low])
                 return node
         self.leaves += 1
         return -self.leaves
 
+    def parts(self) -> tuple:
+        """Root, number of leaves, normals, cuts, left and right, as plain values."""
+        normals, cuts = np.array(self.normals, dtype=np.float32), np.array(self.cuts, dtype=np.float32)
+        return self.root, self.leaves, normals, cuts, np.array(self.left, np.int64), np.array(self.right, np.int64)
+
+
+class Forest:
+    """Trees, given by their parts, in common arrays; leaves are numbered over all trees."""
+
+    def __init__(self, trees: list[tuple], dims: int):
+        nodes = np.cumsum([0, *(len(t[3]) for t in trees)])
+        leaves = np.cumsum([0, *(t[1] for t in trees)])
+
+        def moved(values, k):
+            values = np.array(values, dtype=np.int64)
+            return np.where(values >= 0, values + nodes[k], values - leaves[k])
+
+        self.roots = [int(moved([t[0]], k)[0]) for k, t in enumerate(trees)]
+        self.normals = np.concatenate([t[2].reshape(-1, dims) for t in trees])
+        self.cuts = np.concatenate([t[3] for t in trees])
+        self.left = np.concatenate([moved(t[4], k) for k, t in enumerate(trees)])
+        self.right = np.concatenate([moved(t[5], k) for k, t in enumerate(trees)])
+
     def place(self, vectors: np.ndarray) -> np.ndarray:
         """The leaf of each vector in each tree, as positive numbers."""
         out = np.empty((len(vectors), len(self.roots)), dtype=np.int64)
@@ -72,7 +89,7 @@ class Forest:
 
     def visit(self, vector: np.ndarray, visits: int) -> list[int]:
         """Leaves in the order of one queue over all trees: the smallest distance to any plane crossed."""
-        along = self.normals @ vector - self.cuts if len(self.cuts) else np.empty(0)
+        along = self.normals @ vector - self.cuts
         queue = [(0.0, k, root) for k, root in enumerate(self.roots)]
         heapq.heapify(queue)
         found, k = [], len(queue)
@@ -142,42 +159,83 @@ def nearest(
     total = distinct.count()
     drawn = distinct.filter(F.pmod("draw", F.lit(1 << 30)) < min(1.0, 1.2 * sample / max(total, 1)) * (1 << 30))
     picked = drawn.orderBy("draw").limit(sample).select("v").toArrow()
-    fitted = np.concatenate([_matrix(c) for c in picked.column(0).chunks]).astype(np.float32)
-    shared = spark.sparkContext.broadcast(Forest(fitted, trees, leaf))
+    fitted = spark.sparkContext.broadcast(np.concatenate([_matrix(c) for c in picked.column(0).chunks]).astype(np.float32))
+
+    def grow(batches):
+        for batch in batches:
+            for seed in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Tree(fitted.value, leaf, SEED + seed).parts())])], names=["tree"])
+
+    grown = spark.range(0, trees, 1, trees).mapInArrow(grow, "tree binary").collect()  # bounded by the sample
+    shared = spark.sparkContext.broadcast([pickle.loads(r["tree"]) for r in grown])
 
     def place(batches):
+        forest = Forest(shared.value, dims)
         for batch in batches:
-            at = shared.value.place(_matrix(batch.column(0)).astype(np.float32))
+            at = forest.place(_matrix(batch.column(0)).astype(np.float32))
             offsets = pa.array(np.arange(len(at) + 1) * at.shape[1], type=pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(offsets, pa.array(at.ravel()))],
-                names=["v", "ids", "leaves"],
-            )
+            leaves = pa.ListArray.from_arrays(offsets, pa.array(at.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, leaves], names=["v", "ids", "leaves"])
 
     def walk(batches):
+        forest = Forest(shared.value, dims)
         for batch in batches:
-            found = [shared.value.visit(v, visits) for v in _matrix(batch.column(1)).astype(np.float32)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["query_id", "q", "leaves"]
-            )
+            found = [forest.visit(v, visits) for v in _matrix(batch.column(0)).astype(np.float32)]
+            leaves = pa.array(found, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, leaves], names=["v", "code", "leaves"])
 
+    # Equal queries walk and search once. In each leaf the indexed vectors come first, then its queries.
+    sought = asked.select("v", F.xxhash64("v").alias("code")).distinct()
     placed = distinct.select("v", "ids").mapInArrow(place, "v array<double>, ids array<long>, leaves array<long>")
-    placed = settle(placed.withColumn("item", F.monotonically_increasing_id()), "placed")
-    walked = settle(asked.select("vec_id", "v").mapInArrow(walk, "query_id long, q array<double>, leaves array<long>"), "walked")
-    index = placed.select("item", F.explode("leaves").alias("leaf"))
-    pairs = walked.select("query_id", F.explode("leaves").alias("leaf")).join(index, "leaf").select("query_id", "item").distinct()
-    measured = pairs.join(placed.select("item", "v", "ids"), "item").join(walked.select("query_id", "q"), "query_id")
-
-    @F.pandas_udf("double")
-    def distance(a, b):
-        return type(a)(np.sqrt(((np.stack(a.to_numpy()) - np.stack(b.to_numpy())) ** 2).sum(axis=1)) if len(a) else [])
-
-    near = measured.select("query_id", F.col("ids"), distance("v", "q").alias("score"))
-    best = near.select("query_id", "score", F.explode("ids").alias("vec_id")).filter("query_id <> vec_id")
-    # The k best per query, first per slice of the candidates.
-    best = best.withColumn("slice", F.pmod(F.xxhash64("vec_id"), F.lit(16)))
-    top = F.slice(F.array_sort(F.collect_list(F.struct("score", "vec_id"))), 1, k)
-    best = best.groupBy("query_id", "slice").agg(top.alias("top"))
-    best = best.groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("top"))), 1, k).alias("top"))
-    ranked = best.select("query_id", F.posexplode("top").alias("place", "x"))
+    walked = sought.mapInArrow(walk, "v array<double>, code long, leaves array<long>")
+    rows = placed.select(F.explode("leaves").alias("leaf"), F.lit(None).cast("long").alias("code"), "ids", "v").unionByName(
+        walked.select(F.explode("leaves").alias("leaf"), "code", F.lit(None).cast("array<long>").alias("ids"), "v")
+    )
+    dealt = rows.repartition("leaf").sortWithinPartitions(F.col("leaf"), F.col("code").asc_nulls_first())
+    near = dealt.mapInArrow(lambda batches: _measure(batches, k + 1), "code long, ids array<long>, score double")
+
+    # The best per query, first per slice of the candidates; copies from several leaves are one.
+    near = near.select("code", "score", F.explode("ids").alias("vec_id"))
+    near = near.withColumn("slice", F.pmod(F.xxhash64("vec_id"), F.lit(16)))
+    top = F.slice(F.array_sort(F.collect_set(F.struct("score", "vec_id"))), 1, k + 1)
+    near = near.groupBy("code", "slice").agg(top.alias("top"))
+    near = near.groupBy("code").agg(F.slice(F.array_sort(F.flatten(F.collect_list("top"))), 1, k + 1).alias("top"))
+    answers = asked.select(F.col("vec_id").alias("query_id"), F.xxhash64("v").alias("code")).join(near, "code")
+    others = F.filter("top", lambda x: x["vec_id"] != F.col("query_id"))
+    ranked = answers.select("query_id", F.posexplode(F.slice(others, 1, k)).alias("place", "x"))
     return ranked.select("query_id", (F.col("place") + 1).alias("rank"), "x.vec_id", "x.score")
+
+
+def _measure(batches, k: int):
+    """The ``k`` nearest indexed vectors of each leaf to each of its queries, by exact distance.
+
+    Rows come sorted by leaf, indexed vectors before queries, so one leaf's vectors are held at a time.
+    """
+    leaf, held, ids, matrix = None, [], [], None
+    for batch in batches:
+        leaves, vectors = batch.column(0).to_numpy(), _matrix(batch.column(3))
+        is_query = ~np.array(batch.column(1).is_null())
+        codes, names = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+        cuts = np.flatnonzero((leaves[1:] != leaves[:-1]) | (is_query[1:] != is_query[:-1])) + 1
+        out: list[tuple] = []
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(leaves)], strict=True):
+            if leaves[a] != leaf:
+                leaf, held, ids, matrix = leaves[a], [], [], None
+            if not is_query[a]:
+                held.append(vectors[a:b])
+                ids += names[a:b]
+                matrix = None
+                continue
+            if not held:
+                continue
+            matrix = np.concatenate(held) if matrix is None else matrix
+            for q in range(a, b):
+                far = np.sqrt(((matrix - vectors[q]) ** 2).sum(axis=1))
+                # Ties at the last place are all passed on: ids decide later.
+                last = np.partition(far, k - 1)[k - 1] if len(far) > k else np.inf
+                out += [(codes[q], ids[i], float(far[i])) for i in np.flatnonzero(far <= last)]
+        cols = list(zip(*out, strict=True)) or [()] * 3
+        kinds = (pa.int64(), pa.list_(pa.int64()), pa.float64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, type=t) for c, t in zip(cols, kinds, strict=True)], names=["code", "ids", "score"]
+        )

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import chat, jaccard, language, order, packing, privacy, units
+from weftline.llm import (
+    chat,
+    decontaminate,
+    jaccard,
+    language,
+    neighbours,
+    order,
+    packing,
+    privacy,
+    suffixes,
+    units,
+)
 
 ORDER_KEY = 20_240_601
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -40,6 +51,26 @@ def op4_repeated_units(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op6_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.drop_repeated_strings(_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"]).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     texts = docs.select("doc_id", "text")
@@ -84,7 +115,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_training_order": op2_training_order,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_repeated_units": op4_repeated_units,
+    "op5_decontamination": op5_decontamination,
+    "op6_nearest": op6_nearest,
     "op7_language_id": op7_language_id,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_packing": op10_packing,
 }
