@@ -202,8 +202,8 @@ def near_duplicates(
             least = row["count"] + 1
             break
         held += row["many"]
-    chosen = often.filter(F.col("count") >= least).toPandas()
-    keys, counts = chosen["shingle"].to_numpy(dtype="int64"), chosen["count"].to_numpy(dtype="uint8")
+    chosen = often.filter(F.col("count") >= least).toArrow()  # at most ORDER_VALUES rows
+    keys, counts = chosen["shingle"].to_numpy(), chosen["count"].to_numpy().astype("uint8")
     ranks = np.argsort(keys)
     grouped = settle(_prefix_groups(sets, (keys[ranks], counts[ranks]), least == 2, percent), "groups")
 

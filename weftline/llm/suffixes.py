@@ -15,6 +15,8 @@ from weftline.session import settle
 LENGTH, GRAM = 100, 50
 # Text that one suffix sort takes on, and window starts that are looked at together.
 CHUNK, PART = 1 << 20, 1 << 19
+# Repeated grams that are sent to tasks as one array (8 bytes each); more are joined to their texts.
+KNOWN_GRAMS = 4_000_000
 # A gram with more distinct surroundings than this is split by the strings themselves.
 CROWDED = 4096
 
@@ -292,8 +294,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     often = leaders.select(F.explode(F.concat("once", "more")).alias("gram")).groupBy("gram").count().filter("count > 1")
     often = settle(often.select("gram"), "often")
     leading = without_copies(rows)
-    if often.limit(4_000_001).count() <= 4_000_000:
-        found = _units(leading.select("doc_id", "text", "code"), np.sort(often.toPandas()["gram"].to_numpy(dtype="int64")))
+    if often.limit(KNOWN_GRAMS + 1).count() <= KNOWN_GRAMS:
+        found = _units(leading.select("doc_id", "text", "code"), np.sort(often.toArrow()["gram"].to_numpy()))
     else:
         mine = leaders.select("doc_id", "code", F.explode("once").alias("gram")).join(often, "gram")
         mine = mine.groupBy(F.col("doc_id").alias("d"), F.col("code").alias("c")).agg(F.collect_set("gram").alias("repeated"))
