@@ -13,7 +13,7 @@ from weftline.llm.text import lists, shingles, slices
 from weftline.session import settle
 
 # Tables of up to this many pairs of longs may be broadcast; larger ones are shuffled.
-BROADCAST_VALUES = 1_000_000
+BROADCAST_VALUES = 100_000
 # How many of the most frequent shingles the order knows (9 bytes each). Any order gives the same
 # links; one that knows all repeated shingles finds them with the fewest candidates.
 ORDER_VALUES = 8_000_000
@@ -204,8 +204,11 @@ def near_duplicates(
         held += row["many"]
     chosen = often.filter(F.col("count") >= least).toArrow()  # at most ORDER_VALUES rows
     keys, counts = chosen["shingle"].to_numpy(), chosen["count"].to_numpy().astype("uint8")
+    del chosen
     ranks = np.argsort(keys)
-    grouped = settle(_prefix_groups(sets, (keys[ranks], counts[ranks]), least == 2, percent), "groups")
+    keys, counts = keys[ranks], counts[ranks]
+    del ranks
+    grouped = settle(_prefix_groups(sets, (keys, counts), least == 2, percent), "groups")
 
     members = grouped.select("group", "class")
     chief = members.groupBy("group").agg(F.min("class").alias("chief"))
