@@ -28,7 +28,7 @@ class Layout:
 
 
 LAYOUTS = (
-    Layout("turn_rows", ("conv_id", "role", "text", "turn"), rows=("conv_id", "turn", "role", "text")),
+    Layout("turn_rows", ("role", "text", "turn"), rows=("conv_id", "turn", "role", "text")),
     Layout("messages", ("messages[].content", "messages[].role"), messages=("messages", "role", "content")),
     Layout("from_value", ("conversations[].from", "conversations[].value"), messages=("conversations", "from", "value")),
     Layout("prompt_completion", ("completion", "prompt"), fixed=(("user", "prompt"), ("assistant", "completion"))),
@@ -146,7 +146,7 @@ def canonical_json(df: DataFrame, id_col: str, json_col: str) -> tuple[DataFrame
         turns = F.when(F.col("print") == key, made).otherwise(turns)
     found = found.select("conv_id", turns.alias("turns"))
     listed = found.select("conv_id", F.posexplode("turns").alias("turn", "m"))
-    rows = listed.select("conv_id", F.struct(F.col("turn").cast("long"), F.col("m.role"), F.col("m.text")).alias("t"))
+    rows = listed.select("conv_id", F.struct(F.col("turn").cast("long").alias("turn"), "m.role", "m.text").alias("t"))
     return _exploded(rows), found.filter("turns is null").select("conv_id")
 
 

@@ -48,8 +48,8 @@ def letters(text: str) -> str:
 class Automaton:
     """The suffix automaton of a text as a table: state and character class to the next state.
 
-    A missing move goes to the state that the character reaches from the start, and ``broken`` tells
-    that a phrase ended. Class 0 is any character that the text lacks.
+    A missing move goes to the state that the character reaches from the start, with a mark that a
+    phrase ended. Class 0 is any character that no text has.
     """
 
     def __init__(self, text: str, classes: dict[str, int]):
@@ -79,8 +79,9 @@ class Automaton:
                     link[q] = link[new] = twin
             last = new
         width = max(classes.values()) + 1
-        table = np.zeros((len(moves), width), dtype=np.int32)
-        there = np.zeros((len(moves), width), dtype=bool)
+        # One state more, for a character that the text lacks: it is a phrase of its own.
+        table = np.full((len(moves) + 1, width), len(moves), dtype=np.int32)
+        there = np.zeros(table.shape, dtype=bool)
         for state, out in enumerate(moves):
             for code, to in out.items():
                 table[state, code], there[state, code] = to, True

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from weftline.llm.jaccard import small
 from weftline.llm.text import mix
-from weftline.llm.tokens import Encoder
+from weftline.llm.tokens import Encoder, id_width
 from weftline.session import scratch, settle
 
 # Bytes of text per sequence; a byte-level id stands for at least one byte, so also its most ids.
 SPAN = 1024
-RECORDS = 512
+RECORDS = 256
 ROUNDS = 6
 # Before the ids of a record: document id, first id's place in it, number of ids, whether the id is known.
 HEADER = np.dtype([("doc_id", "<i8"), ("start", "<i8"), ("length", "<u4"), ("known", "<u4")])
@@ -91,29 +91,31 @@ def write_shards(
         encoder = Encoder(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
-                out: list[tuple] = []
                 part = batch.slice(at, 64)
-                for doc, text, base in zip(*(part.column(k) for k in range(3)), strict=True):
-                    ids, doc, base = encoder.ids(text.as_py()), doc.as_py(), base.as_py()
-                    ends = np.cumsum(encoder.lengths[ids])
-                    many = -(-int(ends[-1]) // SPAN)
-                    cuts = np.searchsorted(ends - encoder.lengths[ids], np.arange(many + 1) * SPAN)
-                    slots = permute(base + np.arange(many), total, key)
-                    raw = ids.tobytes()
-                    out += [
-                        (s, doc, a, b - a, raw[4 * a : 4 * b])
-                        for s, a, b in zip(slots.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
-                    ]
+                docs, bases = part.column(0).to_pylist(), part.column(2).to_numpy()
+                texts = [encoder.ids(t) for t in part.column(1).to_pylist()]
+                sizes = [np.cumsum(encoder.lengths[ids]) for ids in texts]
+                many = [-(-int(x[-1]) // SPAN) for x in sizes]
+                index = np.repeat(bases, many) + np.concatenate([np.arange(m) for m in many])
+                slots = permute(index, total, key).tolist()
+                out: list[tuple] = []
+                for doc, ids, ends, m in zip(docs, texts, sizes, many, strict=True):
+                    first = np.concatenate([[0], ends[:-1]])
+                    cuts = np.searchsorted(first, np.arange(m + 1) * SPAN).tolist()
+                    raw = ids.astype(encoder.width).tobytes()
+                    size = encoder.width.itemsize
+                    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                        out.append((slots[len(out)], doc, a, b - a, raw[size * a : size * b]))
                 cols = list(zip(*out, strict=True)) or [()] * 5
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, type=k) for c, k in zip(cols, [pa.int64()] * 4 + [pa.binary()], strict=True)],
                     names=["slot", "doc_id", "start", "length", "ids"],
                 )
 
-    wide = "<u4"
+    size = id_width(path).itemsize
 
     def shard(batches):
-        stride = HEADER.itemsize + SPAN * np.dtype(wide).itemsize
+        stride = HEADER.itemsize + SPAN * size
         current, held, last = -1, [], -1
 
         def out():
@@ -146,15 +148,16 @@ def write_shards(
     return total
 
 
-def read_shards(spark: SparkSession, folder: str, first_slot: int = 0) -> DataFrame:
+def read_shards(spark: SparkSession, folder: str, path: str, first_slot: int = 0) -> DataFrame:
     """The sequences from ``first_slot`` on: slot, shard, offset (bytes into the shard), doc_id, start, length, ids.
 
-    Shards before it are skipped by the scan, and a record's place follows from its slot alone.
+    Shards before it are skipped by the scan, and a record's place follows from its slot alone. ``path``
+    names the vocabulary, which gives the width of an id; ids come out as unsigned 32-bit ones.
     """
-    wide = 4
+    wide = id_width(path)
 
     def work(batches):
-        stride = HEADER.itemsize + SPAN * wide
+        stride = HEADER.itemsize + SPAN * wide.itemsize
         for batch in batches:
             for shard, first, records, payload in zip(*(batch.column(k) for k in range(4)), strict=True):
                 first, data = first.as_py(), payload.as_py()
@@ -162,7 +165,7 @@ def read_shards(spark: SparkSession, folder: str, first_slot: int = 0) -> DataFr
                 heads = [np.frombuffer(data, HEADER, 1, k * stride)[0] for k in range(from_, records.as_py())]
                 offsets = np.arange(from_, records.as_py()) * stride
                 ids = [
-                    data[o + HEADER.itemsize : o + HEADER.itemsize + wide * int(h["length"])]
+                    np.frombuffer(data, wide, int(h["length"]), o + HEADER.itemsize).astype("<u4").tobytes()
                     for o, h in zip(offsets.tolist(), heads, strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(
@@ -188,4 +191,4 @@ def materialise(docs: DataFrame, path: str, key: int, id_col: str = "doc_id", te
     spark = docs.sparkSession
     folder = scratch(spark, "shards")
     write_shards(docs, path, folder, key, id_col, text_col)
-    return read_shards(spark, folder)
+    return read_shards(spark, folder, path)

@@ -25,6 +25,11 @@ def _entries(path: str) -> dict[bytes, int]:
     return {bytes(byte_of[c] for c in entry): i for entry, i in told["model"]["vocab"].items() if entry not in special}
 
 
+def id_width(path: str) -> np.dtype:
+    """The narrowest of 16 and 32 bits that holds every id of a vocabulary."""
+    return np.dtype("<u2" if max(_entries(path).values()) < 1 << 16 else "<u4")
+
+
 class Encoder:
     """Encodes texts to unsigned 32-bit ids; strings of special tokens are ordinary text.
 
@@ -38,6 +43,7 @@ class Encoder:
 
         ranks = _entries(path)
         self.model = tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.width = np.dtype("<u2" if max(ranks.values()) < 1 << 16 else "<u4")
         self.lengths = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         for entry, i in ranks.items():
             self.lengths[i] = len(entry)
