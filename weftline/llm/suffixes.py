@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from weftline.llm.jaccard import small
 from weftline.llm.text import mix, slices
-from weftline.session import settle
+from weftline.session import scratch, settle
 
 # Length of the strings compared, and of the grams that anchor them: each string holds such a gram.
 LENGTH, GRAM = 100, 50
@@ -114,6 +114,13 @@ def _grams_of(rows: DataFrame) -> DataFrame:
 _UNIT = "gram long, shift long, context binary, doc_id long, code long, start long"
 
 
+def _settle_text(df: DataFrame, label: str) -> DataFrame:
+    """``settle`` with a codec that finds the overlaps between contexts."""
+    path = scratch(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _units(rows: DataFrame, repeated: np.ndarray | None) -> DataFrame:
     """Runs of windows around repeated grams: the bytes they cover, where they start, the gram's place.
 
@@ -301,11 +308,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         mine = mine.groupBy(F.col("doc_id").alias("d"), F.col("code").alias("c")).agg(F.collect_set("gram").alias("repeated"))
         joined = leading.join(mine, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("code") == F.col("c")), "left")
         found = _units(joined.select("doc_id", "text", "code", "repeated"), None)
-    found = settle(found, "contexts")
+    found = _settle_text(found, "contexts")
 
     rank = F.struct("doc_id", "code", "start")
     sums = found.groupBy("gram", "shift", "context").agg(F.min(rank).alias("x"), F.count("*").alias("many"))
-    sums = settle(sums, "distinct")
+    sums = _settle_text(sums, "distinct")
     repeated = sums.filter("many > 1").select("gram", "shift", "context", "x")
     again = found.join(repeated, ["gram", "shift", "context"]).filter(~rank.eqNullSafe(F.col("x")))
     again = again.select("doc_id", "code", F.col("start").alias("from"), (F.col("start") + F.length("context")).alias("to"))
@@ -313,6 +320,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     crowds = sums.groupBy("gram").count().filter("count > 1")
     busy = small(crowds.filter(F.col("count") > CROWDED).select("gram"))
     several = sums.join(crowds.select("gram"), "gram", "left_semi").select("gram", "shift", "context", "x.*")
+    several = _settle_text(several, "several")
     sorted_ = _sort_groups(several.join(busy, "gram", "left_anti"))
     windows = several.join(busy, "gram", "left_semi").select(
         "doc_id", "code", "start", "context", F.explode(F.sequence(F.lit(0), F.length("context") - LENGTH)).alias("k")
