@@ -16,6 +16,8 @@ from weftline.session import scratch, settle
 # Bytes of text per sequence; a byte-level id stands for at least one byte, so also its most ids.
 SPAN = 1024
 RECORDS = 256
+# Up to this many documents, their places are broadcast (24 MB); beyond, texts are shuffled to them.
+BROADCAST_DOCS = 1_000_000
 ROUNDS = 6
 # Before the ids of a record: document id, first id's place in it, number of ids, whether the id is known.
 HEADER = np.dtype([("doc_id", "<i8"), ("start", "<i8"), ("length", "<u4"), ("known", "<u4")])
@@ -84,7 +86,7 @@ def write_shards(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("code", F.xxhash64("text"))
     numbered, total = _numbered(rows)
-    numbered = small(numbered.select(F.col("doc_id").alias("id"), F.col("code").alias("of"), "base"))
+    numbered = small(numbered.select(F.col("doc_id").alias("id"), F.col("code").alias("of"), "base"), BROADCAST_DOCS)
     rows = rows.join(numbered, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("code") == F.col("of")))
 
     def encode(batches):
