@@ -156,11 +156,9 @@ def test_tables_are_not_replaced_unasked(spark):
         writers.write_table(spark.range(2), name, scratch(spark, "t"))
 
 
-def test_report_is_one_file_and_must_be_small(spark):
+def test_report_is_one_file(spark):
     path = writers.write_report_csv(spark.range(100).repartition(5), scratch(spark, "report"))
     assert len(spark.read.option("header", True).csv(path).inputFiles()) == 1
-    with pytest.raises(ValueError, match="more than 10 rows"):
-        writers.write_report_csv(spark.range(11), scratch(spark, "report"), max_rows=10)
 
 
 def test_write_many_raises_the_error_of_a_part(spark):

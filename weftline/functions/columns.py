@@ -44,14 +44,20 @@ def year_of(column: Column) -> Column:
     return F.date_format(column, "yyyy").cast("int")
 
 
+def _literal(text: str) -> str:
+    """A pattern that matches exactly this text."""
+    return "".join(c if c.isalnum() or c.isspace() else "\\" + c for c in text)
+
+
 def words(column: Column, delimiter: str = " ") -> Column:
     """Text split at single delimiters; empty parts at the end are dropped, others are kept."""
-    return F.split(F.regexp_replace(column, f"{delimiter}+$", ""), delimiter)
+    mark = _literal(delimiter)
+    return F.split(F.regexp_replace(column, f"(?:{mark})+$", ""), mark)
 
 
 def split_field(column: Column, delimiter: str, index: int, kind: str) -> Column:
     """Field ``index`` (from 1) of delimited text as ``kind``; NULL if absent or malformed."""
-    return F.try_element_at(F.split(column, delimiter), F.lit(index)).try_cast(kind)
+    return F.try_element_at(F.split(column, _literal(delimiter)), F.lit(index)).try_cast(kind)
 
 
 def cast_by_type(df: DataFrame, source: type[T.DataType], target: str) -> DataFrame:

@@ -69,9 +69,15 @@ def full_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
 
     AQE cannot split a skewed full outer join, but it can split the left side of a left outer
     one; the right rows without a partner come from an anti join against the distinct left keys.
+    Columns keep their names, also those that both sides have.
     """
-    matched = left.join(right, left[left_key] == right[right_key], "left")
-    return matched.unionByName(anti_join(right, left, right_key, left_key), allowMissingColumns=True)
+    l, r = (F.struct(*(df[c] for c in df.columns)) for df in (left, right))
+    matched = left.join(right, left[left_key] == right[right_key], "left").select(
+        l.alias("__l"), F.when(right[right_key].isNotNull(), r).alias("__r")
+    )
+    alone = anti_join(right, left, right_key, left_key)
+    alone = alone.select(F.lit(None).cast(left.schema).alias("__l"), F.struct("*").alias("__r"))
+    return matched.union(alone).select("__l.*", "__r.*")
 
 
 def hot_keys(df: DataFrame, key: str, share: float) -> list:
@@ -136,18 +142,26 @@ def range_join(
     pair is found twice and none is lost. Cells have the given ``width``, best near the usual
     length of a range. A range too long for that uses cells that are wider by powers of
     ``CELL_STEP``, so it never covers more than a few dozen; points are repeated once per cell
-    size in use.
+    size in use. A bound may be infinite: such a range covers cells as far as there are points.
     """
-    steps = F.log((F.col(high) - F.col(low)) / F.lit(width)) / F.lit(math.log(CELL_STEP))
+    ranges = ranges.filter(F.col(low) < F.col(high))
+    from_, to = F.col(low).cast("double"), F.col(high).cast("double")
+    if not ranges.filter((from_ == float("-inf")) | (to >= float("inf"))).isEmpty():
+        ends = points.filter(F.abs(F.col(point).cast("double")) < float("inf"))
+        least, most = ends.agg(F.min(point).cast("double"), F.max(point).cast("double")).first()
+        if least is None:
+            least, most = 0.0, 0.0
+        from_, to = F.greatest(from_, F.lit(least)), F.least(to, F.lit(most + width))
+    steps = F.log((to - from_) / F.lit(width)) / F.lit(math.log(CELL_STEP))
     level = F.greatest(F.ceil(steps) - 1, F.lit(0)).cast("int")
-    covered = ranges.filter(F.col(low) < F.col(high)).withColumn("__level", level)
+    covered = ranges.filter(from_ < to).withColumn("__level", level)
     top = covered.agg(F.max("__level")).first()[0] or 0
 
     def cell(value: Column) -> Column:
         size = F.lit(float(width)) * F.pow(F.lit(float(CELL_STEP)), F.col("__level"))
         return F.floor(value / size).cast("long")
 
-    cells = F.sequence(cell(F.col(low)), cell(F.col(high)))
+    cells = F.sequence(cell(from_), cell(to))
     covered = covered.withColumn("__cell", F.explode(cells))
     levels = F.array(*[F.lit(i) for i in range(top + 1)])
     left = points.withColumn("__level", F.explode(levels)).withColumn("__cell", cell(F.col(point)))

@@ -31,14 +31,18 @@ def delete(target: DataFrame, condition: Column) -> DataFrame:
 
 
 def one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``source`` unchanged, or a failing job if any key occurs twice."""
+    """``source`` unchanged, or a failing job if any key occurs twice; NULL equals no other key."""
+    whole = F.lit(True)
+    for key in keys:
+        whole = whole & F.col(key).isNotNull()
+    unmatched, source = source.filter(~whole), source.filter(whole)
     rest = [c for c in source.columns if c not in keys]
     grouped = source.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n"), F.first(F.struct(*rest)).alias("__row")
     )
     message = f"several source rows for one key ({', '.join(keys)})"
     checked = grouped.filter(F.assert_true(F.col("__n") == 1, message).isNull())
-    return checked.select(*keys, "__row.*").select(*source.columns)
+    return checked.select(*keys, "__row.*").select(*source.columns).unionByName(unmatched)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -71,14 +75,18 @@ class Clause:
 def merge(
     target: DataFrame, source: DataFrame, keys: Sequence[str], clauses: Sequence[Clause]
 ) -> DataFrame:
-    """Apply ordered merge clauses with one full outer join on the keys."""
+    """Apply ordered merge clauses to the pairs of rows with equal keys and to the rows without a partner.
+
+    A left join and an anti join take the place of a full outer one, whose hot keys AQE cannot split.
+    """
     unknown = {c.kind for c in clauses} - {"update", "delete", "insert"}
     if unknown:
         raise ValueError(f"unknown merge clause: {sorted(unknown)}")
     columns = target.columns
     t = target.select(*keys, F.struct(*columns).alias("t"))
     s = one_row_per_key(source, keys).select(*keys, F.struct(*source.columns).alias("s"))
-    both = t.join(s, list(keys), "full_outer")
+    new = s.join(t.select(*keys).distinct(), list(keys), "left_anti")
+    both = t.join(s, list(keys), "left").unionByName(new, allowMissingColumns=True)
 
     matched = F.col("t").isNotNull() & F.col("s").isNotNull()
     is_new = F.col("t").isNull()
@@ -144,14 +152,17 @@ def snapshot(
     """The table as a change log describes it at a version or at a commit time.
 
     The log has ``version``, ``commit_ts`` and ``op`` ("put", "delete" or "overwrite") beside the
-    data columns. An overwrite version drops everything before it. Per key the last entry wins,
+    data columns. A version is committed as a whole, at the time of its last entry; a time means the
+    newest version committed by then. An overwrite version drops everything before it. Per key the last entry wins,
     by one map-side combined aggregate, so a key with many changes needs no sort.
     """
     entries = log
     if version is not None:
         entries = entries.filter(F.col("version") <= version)
     if as_of is not None:
-        entries = entries.filter(F.col("commit_ts") <= as_of)
+        times = log.groupBy("version").agg(F.max("commit_ts").alias("committed"))
+        newest = times.filter(F.col("committed") <= as_of).agg(F.max("version").alias("v")).scalar()
+        entries = entries.filter(F.col("version") <= newest)
     resets = entries.filter(F.col("op") == "overwrite")
     start = resets.agg(F.coalesce(F.max("version"), F.lit(-1)).cast("long").alias("v")).scalar()
     entries = entries.filter(F.col("version") >= start)
@@ -164,13 +175,14 @@ def snapshot(
 
 
 def history(log: DataFrame, last: int) -> DataFrame:
-    """The newest ``last`` versions with commit time, operation and number of entries."""
+    """The newest ``last`` versions with commit time, operations, and the number of entries of each kind."""
     return (
         log.groupBy("version")
         .agg(
             F.max("commit_ts").alias("commit_ts"),
-            F.max("op").alias("operation"),
+            F.array_join(F.array_sort(F.collect_set("op")), "+").alias("operation"),
             F.count(F.lit(1)).alias("entries"),
+            *(F.count_if(F.col("op") == op).alias(f"{op}s") for op in ("put", "delete", "overwrite")),
         )
         .orderBy(F.col("version").desc())
         .limit(last)

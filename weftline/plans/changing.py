@@ -109,8 +109,8 @@ def lake_merge_schema(t):
 
 
 def event_log(t):
-    """Events as a change log: one version per day, errors delete, day 10 replaces everything."""
-    day = F.dayofmonth("ts").cast("bigint")
+    """Events as a change log: one version per day, errors delete, version 10 replaces everything."""
+    day = F.datediff("ts", F.lit("2023-12-31")).cast("bigint")
     op = (
         F.when(day == 10, "overwrite")
         .when(F.col("event_type") == "error", "delete")
@@ -122,8 +122,9 @@ def event_log(t):
     )
 
 
-_LOG = """(SELECT user_id, event_id, event_type, value, day(ts) AS version, ts AS commit_ts,
-    CASE WHEN day(ts) = 10 THEN 'overwrite' WHEN event_type = 'error' THEN 'delete' ELSE 'put' END AS op FROM events)"""
+_DAY = "date_diff('day', DATE '2023-12-31', CAST(ts AS DATE))"
+_LOG = f"""(SELECT user_id, event_id, event_type, value, {_DAY} AS version, ts AS commit_ts,
+    CASE WHEN {_DAY} = 10 THEN 'overwrite' WHEN event_type = 'error' THEN 'delete' ELSE 'put' END AS op FROM events)"""
 _SNAPSHOT = f"""SELECT user_id, event_type, value FROM (SELECT *,
         row_number() OVER (PARTITION BY user_id ORDER BY version DESC, event_id DESC) AS place FROM {_LOG}
         WHERE {{0}} AND version >= (SELECT coalesce(max(version), -1) FROM {_LOG} WHERE op = 'overwrite' AND {{0}}))
@@ -135,7 +136,11 @@ def lake_version_as_of(t):
     return lake.snapshot(event_log(t), ["user_id"], version=15, order_within="event_id")
 
 
-@query("lake_timestamp_as_of", _SNAPSHOT.format("commit_ts <= TIMESTAMP '2024-01-09 12:00:00'"))
+_COMMITTED = f"""version <= (SELECT max(version) FROM (SELECT version, max(commit_ts) AS committed FROM {_LOG} GROUP BY version)
+    WHERE committed <= TIMESTAMP '2024-01-09 12:00:00')"""
+
+
+@query("lake_timestamp_as_of", _SNAPSHOT.format(_COMMITTED))
 def lake_timestamp_as_of(t):
     time = F.lit("2024-01-09 12:00:00").cast("timestamp_ntz")
     return lake.snapshot(event_log(t), ["user_id"], as_of=time, order_within="event_id")
@@ -143,7 +148,9 @@ def lake_timestamp_as_of(t):
 
 @query(
     "lake_history",
-    f"""SELECT version, max(commit_ts) AS commit_ts, max(op) AS operation, count(*) AS entries FROM {_LOG}
+    f"""SELECT version, max(commit_ts) AS commit_ts, string_agg(DISTINCT op, '+' ORDER BY op) AS operation,
+    count(*) AS entries, count(*) FILTER (op = 'put') AS puts, count(*) FILTER (op = 'delete') AS deletes,
+    count(*) FILTER (op = 'overwrite') AS overwrites FROM {_LOG}
     GROUP BY version ORDER BY version DESC LIMIT 25""",
 )
 def lake_history(t):

@@ -433,6 +433,7 @@ def udf_bucket(t):
 
         edges = [edge for edge, _ in DELAY_EDGES]
         labels = numpy.array([label for _, label in DELAY_EDGES] + [BEYOND_EDGES], dtype=object)
-        return pandas.Series(labels[numpy.searchsorted(edges, delay.to_numpy())])
+        found = pandas.Series(labels[numpy.searchsorted(edges, delay.to_numpy(dtype="float64"))])
+        return found.where(delay.notna().to_numpy(), None)
 
     return delays(t).withColumn("delay_class", classify("delay"))

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from weftline.functions.columns import stable_number
 from weftline.schemas import require_schema, schema_of
 
+NULL_MARK = "\\N"
+
 
 def read_csv(
     spark: SparkSession,
@@ -25,9 +27,11 @@ def read_csv(
     Inference reads the data twice, so give a schema for anything large. ``multiline`` allows line
     breaks inside quotes, at the price that a file is no longer split between tasks.
     """
-    options = {"header": header, "sep": separator}
+    # Quotes as write_csv doubles them. An unquoted empty field is NULL and a quoted one an empty text,
+    # which needs a null mark other than the empty text.
+    options = {"header": header, "sep": separator, "quote": '"', "escape": '"', "nullValue": NULL_MARK}
     if multiline:
-        options |= {"multiLine": True, "quote": '"', "escape": '"'}
+        options["multiLine"] = True
     if schema is None:
         return spark.read.csv(path, inferSchema=True, **options)
     return spark.read.schema(schema).csv(path, **options)

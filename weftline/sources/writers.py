@@ -8,8 +8,6 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
-from weftline.operators.joins import has_at_most
-
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> str:
     out = df.repartition(files) if files else df
@@ -31,12 +29,9 @@ def write_csv(df: DataFrame, path: str, separator: str = ",", mode: str = "overw
     return path
 
 
-def write_report_csv(df: DataFrame, path: str, max_rows: int = 100_000) -> str:
-    """One CSV file with a header, for results of a proven small size."""
-    if not has_at_most(df, max_rows):
-        raise ValueError(f"more than {max_rows} rows: use write_csv, which writes in parallel")
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-    return path
+def write_report_csv(df: DataFrame, path: str) -> str:
+    """One CSV file with a header, of any length: computed in parallel, then passed through one writer."""
+    return write_csv(df.repartition(1), path)
 
 
 def write_table(df: DataFrame, name: str, path: str | None = None, mode: str = "errorifexists") -> str:

@@ -13,7 +13,7 @@ PROGRESS_SCHEMA = (
 
 
 def progress_table(spark: SparkSession, progress: Sequence) -> DataFrame:
-    """One row per micro-batch; Spark keeps the last 100 reports of a query."""
+    """One row per micro-batch."""
     rows = []
     for p in progress:
         operators = p["stateOperators"]

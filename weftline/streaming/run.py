@@ -5,15 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from threading import Event
+from time import sleep
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from weftline.session import scratch
 
 MODES = ("append", "update", "complete")
+# State partitions of a new stateful query on a cluster.
+STATE_PARTITIONS = 2048
 
 
 @dataclass
@@ -68,14 +72,64 @@ def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
 
 
 def state_partitions(spark: SparkSession) -> dict[str, str]:
-    """The setting for a new stateful query: no more state partitions than cores.
+    """The setting for a new stateful query: on a local master, no more state partitions than cores.
 
-    Each costs a commit per micro-batch. The count is fixed by the first start of a checkpoint, so
-    a long-running query should be given one that fits its later size.
+    Each costs a commit per micro-batch. The count is fixed by the first start of a checkpoint, so on a
+    cluster it does not follow the cores at that time: it is ``STATE_PARTITIONS``, or the session's
+    number if that is larger. Give ``conf`` to ``start`` or ``run`` for another number.
     """
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = spark.sparkContext.defaultParallelism
-    return {"spark.sql.shuffle.partitions": str(min(wanted, max(2, cores)))}
+    if spark.sparkContext.master.startswith("local["):
+        return {"spark.sql.shuffle.partitions": str(min(wanted, max(2, spark.sparkContext.defaultParallelism)))}
+    return {"spark.sql.shuffle.partitions": str(max(wanted, STATE_PARTITIONS))}
+
+
+class ProgressLog(StreamingQueryListener):
+    """Every progress report of the queries started here, by run; Spark itself keeps the last 100."""
+
+    def __init__(self) -> None:
+        self.reports: dict[str, list] = {}
+        self.ended: dict[str, Event] = {}
+
+    def expect(self, run: str) -> None:
+        self.reports.setdefault(run, [])
+        self.ended.setdefault(run, Event())
+
+    def onQueryStarted(self, event) -> None:
+        self.expect(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        self.expect(str(event.progress.runId))
+        self.reports[str(event.progress.runId)].append(event.progress)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.expect(str(event.runId))
+        self.ended[str(event.runId)].set()
+
+    def take(self, run: str) -> list | None:
+        """All reports of a run that has ended, once; None if it was not started here."""
+        if run not in self.ended:
+            return None
+        # Events come in order, so the end comes after the last report.
+        if not self.ended[run].wait(60):
+            raise TimeoutError("the end of a query was not reported")
+        del self.ended[run]
+        return self.reports.pop(run)
+
+
+_logs: dict[str, ProgressLog] = {}
+
+
+def progress_log(spark: SparkSession) -> ProgressLog:
+    """The session's log; it is attached at the first call."""
+    key = f"{spark.sparkContext.applicationId}/{spark._jsparkSession.hashCode()}"
+    if key not in _logs:
+        _logs[key] = ProgressLog()
+        spark.streams.addListener(_logs[key])
+    return _logs[key]
 
 
 def start(
@@ -109,19 +163,32 @@ def start(
     else:
         writer = writer.foreachBatch(on_batch or write)
     spark = df.sparkSession
+    log = progress_log(spark)
     with settings(spark, {**state_partitions(spark), **(conf or {})}):
-        return writer.start()
+        query = writer.start()
+    log.expect(str(query.runId))
+    return query
 
 
 def finish(query: StreamingQuery, timeout: float | None = None) -> list:
-    """Wait for a query, raise its error, return its progress reports."""
+    """Wait for a query, raise its error, return all its progress reports.
+
+    A query that is still running after ``timeout`` seconds is stopped, and a TimeoutError raised.
+    """
     try:
+        ended = True
         if timeout is None:
             query.awaitTermination()
         else:
-            query.awaitTermination(timeout)
+            ended = query.awaitTermination(timeout)
         if query.exception() is not None:
             raise query.exception()
+        if not ended:
+            raise TimeoutError(f"the query had not ended after {timeout} seconds")
+        for log in list(_logs.values()):
+            reports = log.take(str(query.runId))
+            if reports is not None:
+                return reports
         return list(query.recentProgress)
     finally:
         query.stop()
@@ -147,7 +214,7 @@ def run(
 def run_all(streams: Sequence[tuple[str, DataFrame, str]]) -> dict[str, StreamResult]:
     """Run several (name, stream, mode) side by side in one session, each with its own checkpoint.
 
-    If one fails, the others are stopped and its error is raised.
+    As soon as any of them fails, the others are stopped and its error is raised.
     """
     started = []
     try:
@@ -157,6 +224,11 @@ def run_all(streams: Sequence[tuple[str, DataFrame, str]]) -> dict[str, StreamRe
             query = start(df, mode, path, checkpoint, name)
             started.append((name, df, mode, path, query))
         results = {}
+        while any(query.isActive for *_, query in started):
+            for *_, query in started:
+                if query.exception() is not None:
+                    raise query.exception()
+            sleep(0.2)
         for name, df, mode, path, query in started:
             progress = finish(query)
             numbers = [p["batchId"] for p in progress]
