@@ -56,6 +56,13 @@ def test_linear_regression_recovers_the_prices(spark, listings):
     assert weights.filter("term = 'beds'").first()["weight"] == pytest.approx(40, abs=8)
 
 
+def test_trees_take_a_text_column_with_many_values(spark):
+    df = spark.range(240).selectExpr("concat('k', id % 60) AS kind", "CAST(id % 60 AS DOUBLE) AS price")
+    model = M.tree_pipeline(df, ["kind"], [], "price", maxDepth=2).fit(df)
+    assert M.tree_bins(df, ["kind"]) == 60
+    assert model.transform(df).count() == 240
+
+
 def test_log_label(listings):
     logged = M.with_log_label(listings, "price", "log_price")
     model = M.linear_pipeline(["kind"], ["beds"], "log_price").fit(logged)
@@ -71,20 +78,20 @@ def test_mean_baseline(spark):
 
 def test_trees_and_importances(spark, listings):
     for kind, params in (("tree", {}), ("forest", {"numTrees": 5}), ("boosted", {"maxIter": 5})):
-        model = M.tree_pipeline(["kind"], ["beds"], "price", kind, maxDepth=4, **params).fit(listings)
+        model = M.tree_pipeline(listings, ["kind"], ["beds"], "price", kind, maxDepth=4, **params).fit(listings)
         assert M.r_squared(model.transform(listings), "price", "prediction").first()["r2"] > 0.9
     table = M.importances(model, ["kind", "beds"], spark).collect()
     assert table[0]["feature"] == "beds" and sum(r["importance"] for r in table) == pytest.approx(1)
 
 
 def test_depth_is_honoured(listings):
-    flat = M.tree_pipeline(["kind"], ["beds"], "price", "tree", maxDepth=1).fit(listings)
+    flat = M.tree_pipeline(listings, ["kind"], ["beds"], "price", "tree", maxDepth=1).fit(listings)
     assert flat.stages[-1].depth == 1
 
 
 @pytest.mark.parametrize("whole", [True, False])
 def test_grid_search(spark, listings, whole):
-    pipeline = M.tree_pipeline(["kind"], ["beds"], "price", "tree")
+    pipeline = M.tree_pipeline(listings, ["kind"], ["beds"], "price", "tree")
     model = M.cross_validate(pipeline, listings, "price", {"maxDepth": [1, 4]}, folds=2, whole_pipeline=whole)
     table = M.cv_table(model if whole else model.stages[-1], spark).collect()
     assert [r["params"] for r in table] == ["maxDepth=4", "maxDepth=1"]

@@ -300,6 +300,14 @@ def test_alerts_for_users_left_inactive(spark):
     assert rows(result.rows()) == [(str(u), "User is inactive") for u in range(1, 6)]
 
 
+@pytest.mark.parametrize("cut", [1, 2, 3, 6])
+def test_alerts_do_not_depend_on_the_cut(spark, cut):
+    data = [("1", "idle"), ("2", "move"), ("1", "move"), ("3", "look"), ("2", "look"), ("1", "move")]
+    batches = [data[i : i + cut] for i in range(0, len(data), cut)]
+    result = run(state.track_status(actions(spark, batches), "userId", "action", "n", alerts=True), "append")
+    assert rows(result.rows().distinct()) == [("1", "User is inactive"), ("3", "User is inactive")]
+
+
 def timed(spark):
     minutes = [("1", 0), ("2", 5), ("3", 20), ("1", 35), ("4", 45), ("3", 50), ("1", 70), ("3", 80), ("4", 90), ("5", 150)]
     start_time = datetime.datetime(2023, 6, 9, 12)

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from weftline.operators.features import assembler, indexer, one_hot
 
-# Trees need at least as many bins as the largest category has values.
-MAX_BINS = 40
+# The usual number of bins; a text column with more values needs more.
+LEAST_BINS = 32
 
 
 def rmse(label: Column, prediction: Column) -> Column:
@@ -61,10 +61,23 @@ def linear_pipeline(
     return Pipeline(stages=[*stages, assembler(inputs), model])
 
 
-def tree_pipeline(text: Sequence[str], numeric: Sequence[str], label: str, kind: str = "tree", **params):
-    """Index the text columns, assemble, fit "tree", "forest" or "boosted"."""
+def tree_bins(train: DataFrame, text: Sequence[str]) -> int:
+    """Bins for trees over these text columns: as many as the largest has distinct values, at least 32.
+
+    The indexer keeps all values of a text column on the driver, so these must be categories.
+    """
+    if not text:
+        return LEAST_BINS
+    counts = train.agg(*[F.count_distinct(c).alias(c) for c in text]).first()
+    return max(LEAST_BINS, *counts)
+
+
+def tree_pipeline(
+    train: DataFrame, text: Sequence[str], numeric: Sequence[str], label: str, kind: str = "tree", **params
+) -> Pipeline:
+    """Index the text columns, assemble, fit "tree", "forest" or "boosted"; ``train`` gives the number of bins."""
     classes = {"tree": DecisionTreeRegressor, "forest": RandomForestRegressor, "boosted": GBTRegressor}
-    params = {"maxBins": MAX_BINS, "seed": 42, **params}
+    params = {"maxBins": tree_bins(train, text), "seed": 42, **params}
     model = classes[kind](labelCol=label, featuresCol="features", **params)
     inputs = [*[f"{c}_index" for c in text], *numeric]
     return Pipeline(stages=[*([indexer(text)] if text else []), assembler(inputs), model])

@@ -62,9 +62,17 @@ def agg_count_distinct(t):
     )
 
 
-@query("agg_approx_distinct")
+@query(
+    "agg_approx_distinct",
+    "SELECT l_returnflag, count(DISTINCT l_partkey) AS parts, true AS near FROM lineitem GROUP BY l_returnflag",
+)
 def agg_approx_distinct(t):
-    return t.lineitem.groupBy("l_returnflag").agg(F.approx_count_distinct("l_partkey", 0.02).alias("parts"))
+    """The exact count, and whether the estimate is within four of its standard deviations (0.02)."""
+    counts = t.lineitem.groupBy("l_returnflag").agg(
+        F.count_distinct("l_partkey").alias("parts"), F.approx_count_distinct("l_partkey", 0.02).alias("estimate")
+    )
+    near = F.abs(F.col("estimate") - F.col("parts")) <= 0.08 * F.col("parts")
+    return counts.select("l_returnflag", "parts", near.alias("near"))
 
 
 @query(
@@ -168,9 +176,13 @@ def agg_pivot(t):
     (SELECT event_type FROM events GROUP BY event_type HAVING count(*) >= 0.1 * (SELECT count(*) FROM events))""",
 )
 def freq_items(t):
-    # May also name rarer items; here every type is above a tenth.
+    """The candidates may include rarer items, so they are counted; there are at most ten or so."""
     found = t.events.stat.freqItems(["event_type"], 0.1)
-    return found.select(F.array_join(F.array_sort("event_type_freqItems"), ",").alias("types"))
+    candidates = found.select(F.explode("event_type_freqItems").alias("event_type"))
+    counted = t.events.join(F.broadcast(candidates), "event_type").groupBy("event_type").count()
+    least = t.events.agg((0.1 * F.count(F.lit(1))).alias("n")).scalar()
+    frequent = counted.filter(F.col("count") >= least)
+    return frequent.agg(F.array_join(F.array_sort(F.collect_list("event_type")), ",").alias("types"))
 
 
 @query(
@@ -208,9 +220,25 @@ def quantile_exact_rank(t):
     return R.exact_quantiles(t.orders, "o_totalprice", wanted, ["o_orderpriority"], interpolate=False)
 
 
-@query("quantile_approx")
+@query(
+    "quantile_approx",
+    "SELECT o_orderpriority, count(*) AS n, true AS q25, true AS q75 FROM orders GROUP BY o_orderpriority",
+)
 def quantile_approx(t):
-    return A.approximate_quantiles(t.orders, "o_totalprice", {"q25": 0.25, "q75": 0.75}, ["o_orderpriority"])
+    """Whether the place of each estimate is in the range of the sketch: floor((p - e) n) to ceil((p + e) n), e = 0.001."""
+    wanted = {"q25": 0.25, "q75": 0.75}
+    found = A.approximate_quantiles(t.orders, "o_totalprice", wanted, ["o_orderpriority"])
+    placed = t.orders.select("o_orderpriority", "o_totalprice").join(F.broadcast(found), "o_orderpriority")
+
+    def near(name, p):
+        n = F.count(F.lit(1))
+        below = F.count_if(F.col("o_totalprice") < F.col(name))
+        up_to = F.count_if(F.col("o_totalprice") <= F.col(name))
+        return ((below < F.ceil((p + 0.001) * n)) & (up_to >= F.floor((p - 0.001) * n))).alias(name)
+
+    return placed.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"), *[near(name, p) for name, p in wanted.items()]
+    )
 
 
 @query(

@@ -237,25 +237,29 @@ def union_all(t):
     return sets.union_all([df, df.filter(F.col("o_orderstatus") == "F")])
 
 
+# The six labelled slices, whose inclusive edges overlap.
 _SLICES = [
-    ("Very Long", "l_quantity > 36"),
-    ("Long", "l_quantity BETWEEN 12 AND 36"),
-    ("Short", "l_quantity BETWEEN 6 AND 12"),
-    ("Tolerable", "l_quantity BETWEEN 1 AND 6"),
-    ("None", "l_quantity = 1"),
+    ("Very Long Delays", "delay > 360"),
+    ("Long Delays", "delay BETWEEN 120 AND 360"),
+    ("Short Delays", "delay BETWEEN 60 AND 120"),
+    ("Tolerable Delays", "delay BETWEEN 0 AND 60"),
+    ("No Delays", "delay = 0"),
+    ("Early", "delay < 0"),
 ]
 
 
 @query(
     "union_slices",
     " UNION ALL ".join(
-        f"SELECT l_orderkey, l_quantity, '{label}' AS delay_class FROM lineitem WHERE {condition}"
+        f"""SELECT event_id, delay, '{label}' AS delay_class
+        FROM (SELECT event_id, CAST(floor(value) AS BIGINT) - 10 AS delay FROM events) WHERE {condition}"""
         for label, condition in _SLICES
     ),
 )
 def union_slices(t):
     slices = [(label, F.expr(condition)) for label, condition in _SLICES]
-    return sets.labelled_slices(t.lineitem.select("l_orderkey", "l_quantity"), slices, "delay_class")
+    delays = t.events.select("event_id", (F.floor("value") - 10).alias("delay"))
+    return sets.labelled_slices(delays, slices, "delay_class")
 
 
 @query(

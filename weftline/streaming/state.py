@@ -30,13 +30,16 @@ def last_status(stream: DataFrame, key: str, action: str, order: str) -> DataFra
     return stream.groupBy(key).agg(F.coalesce(newest, F.lit(False)).alias("active"))
 
 
-def _last_actions(df: DataFrame, key: str, action: str, order: str, time: str | None) -> DataFrame:
+def _last_actions(df: DataFrame, key: str, action: str, order: str, time: str | None, alerts: bool) -> DataFrame:
     """Per Arrow batch and key one row: the newest status change and the newest time.
 
+    With ``alerts`` also the first action (``began`` at ``first``) and whether any was "idle".
+
     This runs before the shuffle, so a hot key reaches its state task as a few rows per input
     task, not as all its events.
     """
     schema = "key string, change int, order long" + (", event_time timestamp" if time else "")
+    schema += ", first long, began int, idled boolean" if alerts else ""
     slim = df.select(
         # As text a key passes through pandas unchanged even if some keys are NULL.
         F.col(key).cast("string").alias("key"),
@@ -52,6 +55,10 @@ def _last_actions(df: DataFrame, key: str, action: str, order: str, time: str |
         for rows in batches:
             if rows.empty:
                 continue
+            if alerts:
+                opening = rows.sort_values(["order", "change"]).groupby("key", dropna=False)
+                rows["first"], rows["began"] = opening["order"].transform("first"), opening["change"].transform("first")
+                rows["idled"] = (rows["change"] == 0).groupby(rows["key"], dropna=False).transform("any")
             # Status changes sort behind other actions, so the last row of a key is its newest change.
             rows["is_change"] = rows["change"] != UNCHANGED
             if time:
@@ -64,8 +71,12 @@ def _last_actions(df: DataFrame, key: str, action: str, order: str, time: str |
 
 
 def _merge(frames: Iterator[pd.DataFrame], active: bool, order: int, seen: int):
-    """State after the partial rows of a key; they may come in any order."""
+    """State after the partial rows of a key, which may come in any order, the first action, and whether any was "idle"."""
+    opening, idled = (2**62, 1), False
     for frame in frames:
+        if "idled" in frame:
+            opening = min(opening, *zip(frame["first"].tolist(), frame["began"].tolist()))
+            idled = idled or bool(frame["idled"].any())
         for change, place in zip(frame["change"].tolist(), frame["order"].tolist()):
             if change != UNCHANGED and place >= order:
                 active, order = change == 1, place
@@ -73,7 +84,7 @@ def _merge(frames: Iterator[pd.DataFrame], active: bool, order: int, seen: int):
             newest = frame["event_time"].max()
             if not pd.isna(newest):
                 seen = max(seen, int(newest.timestamp() * 1000))
-    return active, order, seen
+    return (active, order, seen), opening[1], idled
 
 
 def track_status(
@@ -89,9 +100,10 @@ def track_status(
 ) -> DataFrame:
     """Whether each key is active: "move" makes it so, "idle" not, other actions change nothing.
 
-    Emits (key, active) once per key and micro-batch in update mode, or with ``alerts`` a message
-    (key, message) for every key that a batch leaves inactive, in append mode. ``order`` ranks the
-    actions of a key, so the result does not depend on how the input is cut into batches.
+    Emits (key, active) once per key and micro-batch in update mode. With ``alerts`` it emits, in append
+    mode, at most one message (key, message) per key and micro-batch: if any of its actions is "idle", or
+    if the very first action of the key is not "move". ``order`` ranks the actions of a key, so neither the
+    status nor the set of alerts depends on how input that comes in this order is cut into batches.
 
     ``event_timeout_ms`` (with ``time`` and ``watermark``) or ``idle_ms`` of processing time sets a
     key that stays silent to inactive and forgets it. The event-time limit counts from the later
@@ -101,7 +113,7 @@ def track_status(
         raise ValueError("an event-time timeout needs time and watermark")
     if event_timeout_ms and idle_ms:
         raise ValueError("choose one kind of timeout")
-    partial = _last_actions(stream, key, action, order, time)
+    partial = _last_actions(stream, key, action, order, time, alerts)
     if event_timeout_ms:
         partial = partial.withWatermark("event_time", watermark)
         timeout = GroupStateTimeout.EventTimeTimeout
@@ -111,26 +123,26 @@ def track_status(
         timeout = GroupStateTimeout.NoTimeout
     second = "message string" if alerts else "active boolean"
 
-    def emit(name, active: bool) -> Iterator[pd.DataFrame]:
+    def emit(name, active: bool, alert: bool) -> Iterator[pd.DataFrame]:
         if not alerts:
             yield pd.DataFrame({"key": [name], "active": [active]})
-        elif not active:
+        elif alert:
             yield pd.DataFrame({"key": [name], "message": [ALERT]})
 
     def update(group, frames, state):
         (name,) = group
         if state.hasTimedOut:
             state.remove()
-            yield from emit(name, False)
+            yield from emit(name, False, True)
             return
-        old = state.get if state.exists else (False, FIRST, 0)
-        active, last, seen = _merge(frames, *old)
+        known = state.exists
+        (active, last, seen), began, idled = _merge(frames, *(state.get if known else (False, FIRST, 0)))
         state.update((active, last, seen))
         if event_timeout_ms:
             state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), seen) + event_timeout_ms)
         elif idle_ms:
             state.setTimeoutDuration(idle_ms)
-        yield from emit(name, active)
+        yield from emit(name, active, idled or (not known and began != 1))
 
     tracked = partial.groupBy("key").applyInPandasWithState(
         update, f"key string, {second}", STATE, "append" if alerts else "update", timeout
