@@ -118,6 +118,18 @@ def test_crowded_grams_are_split(spark, monkeypatch):
         assert expected[r.doc_id][2:] == (len(r.spans), hashlib.sha256(r.kept).hexdigest()) and (r.spans or not r.doc_id)
 
 
+@pytest.mark.parametrize("known", [0, suffixes.KNOWN_GRAMS])
+def test_strings_repeated_inside_one_document_only(spark, monkeypatch, known):
+    monkeypatch.setattr(suffixes, "KNOWN_GRAMS", known)
+    passage = " ".join(f"{i * i * 7919:06d}" for i in range(45))
+    rows = [(1, f"{passage} and once more {passage}")]
+    for more in ([], [(2, "z" + "".join(f"{i * 31 % 977:03d}" for i in range(90)))]):
+        expected = plain_strings(rows + more)
+        got = suffixes.drop_repeated_strings(spark.createDataFrame(rows + more, "doc_id long, text string")).collect()
+        assert {r.doc_id: (len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got} == {k: v[2:] for k, v in expected.items()}
+        assert expected[1][1] >= len(passage)
+
+
 def test_suffix_order():
     rng = np.random.default_rng(3)
     for letters, n in ((1, 40), (2, 500), (3, 1), (5, 2), (2, 3), (26, 700)):

@@ -136,14 +136,13 @@ def _units(rows: DataFrame, repeated: np.ndarray | None) -> DataFrame:
                 common = given.value
                 if common is None:
                     common = np.sort(np.array(batch.column(3)[i].as_py() or [], dtype=np.int64))
-                if not len(common):
-                    continue
                 for at, data in _parts(text):
                     first, last, place, hashes = anchors(data)
                     keys = hashes.view(np.int64)
-                    hit = np.minimum(np.searchsorted(common, keys), len(common) - 1)
                     _, number, many = np.unique(keys, return_inverse=True, return_counts=True)
-                    use = (common[hit] == keys) | (many[number] > 1)
+                    use = many[number] > 1
+                    if len(common):
+                        use |= common[np.minimum(np.searchsorted(common, keys), len(common) - 1)] == keys
                     for a, b, p, k in zip(first[use].tolist(), last[use].tolist(), place[use].tolist(), keys[use].tolist(), strict=True):
                         out.append((k, p - a, text[at + a : at + b + LENGTH], docs[i], codes[i], at + a))
                 if len(out) > 4096:
