@@ -130,6 +130,19 @@ def test_strings_repeated_inside_one_document_only(spark, monkeypatch, known):
         assert expected[1][1] >= len(passage)
 
 
+@pytest.mark.parametrize("known", [0, suffixes.KNOWN_GRAMS])
+def test_strings_repeated_in_different_parts(spark, monkeypatch, known):
+    monkeypatch.setattr(suffixes, "KNOWN_GRAMS", known)
+    monkeypatch.setattr(suffixes, "PART", 700)
+    passage = "".join(f"{i * i * 7919:07d}" for i in range(30))
+    between = "".join(f"{i * i * 104729 % 9999991:07d}" for i in range(300))
+    rows = [(1, passage + between + passage), (2, "".join(f"{i * 31 % 977:03d}" for i in range(700)))]
+    expected = plain_strings(rows)
+    got = suffixes.drop_repeated_strings(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got} == {k: v[2:] for k, v in expected.items()}
+    assert expected[1][1] >= len(passage)
+
+
 def test_suffix_order():
     rng = np.random.default_rng(3)
     for letters, n in ((1, 40), (2, 500), (3, 1), (5, 2), (2, 3), (26, 700)):

@@ -124,7 +124,8 @@ def _settle_text(df: DataFrame, label: str) -> DataFrame:
 def _units(rows: DataFrame, repeated: np.ndarray | None) -> DataFrame:
     """Runs of windows around repeated grams: the bytes they cover, where they start, the gram's place.
 
-    The repeated grams are given as a sorted array, or else in the column ``repeated`` of each row.
+    The repeated grams, also those that one text alone repeats, are given as a sorted array, or else in the
+    column ``repeated`` of each row.
     """
     given = rows.sparkSession.sparkContext.broadcast(repeated)
 
@@ -136,13 +137,12 @@ def _units(rows: DataFrame, repeated: np.ndarray | None) -> DataFrame:
                 common = given.value
                 if common is None:
                     common = np.sort(np.array(batch.column(3)[i].as_py() or [], dtype=np.int64))
+                if not len(common):
+                    continue
                 for at, data in _parts(text):
                     first, last, place, hashes = anchors(data)
                     keys = hashes.view(np.int64)
-                    _, number, many = np.unique(keys, return_inverse=True, return_counts=True)
-                    use = many[number] > 1
-                    if len(common):
-                        use |= common[np.minimum(np.searchsorted(common, keys), len(common) - 1)] == keys
+                    use = common[np.minimum(np.searchsorted(common, keys), len(common) - 1)] == keys
                     for a, b, p, k in zip(first[use].tolist(), last[use].tolist(), place[use].tolist(), keys[use].tolist(), strict=True):
                         out.append((k, p - a, text[at + a : at + b + LENGTH], docs[i], codes[i], at + a))
                 if len(out) > 4096:
@@ -297,13 +297,15 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return df.join(gone, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("code") == F.col("c")) & (F.col("rest") == F.col("r")), "left_anti")
 
     leaders = without_copies(picked)
-    often = leaders.select(F.explode(F.concat("once", "more")).alias("gram")).groupBy("gram").count().filter("count > 1")
+    # A gram that one document holds more than once counts twice, so it is repeated without another document.
+    each = leaders.select(F.explode(F.concat("once", "more", "more")).alias("gram"))
+    often = each.groupBy("gram").count().filter("count > 1")
     often = settle(often.select("gram"), "often")
     leading = without_copies(rows)
     if often.limit(KNOWN_GRAMS + 1).count() <= KNOWN_GRAMS:
         found = _units(leading.select("doc_id", "text", "code"), np.sort(often.toArrow()["gram"].to_numpy()))
     else:
-        mine = leaders.select("doc_id", "code", F.explode("once").alias("gram")).join(often, "gram")
+        mine = leaders.select("doc_id", "code", F.explode(F.concat("once", "more")).alias("gram")).join(often, "gram")
         mine = mine.groupBy(F.col("doc_id").alias("d"), F.col("code").alias("c")).agg(F.collect_set("gram").alias("repeated"))
         joined = leading.join(mine, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("code") == F.col("c")), "left")
         found = _units(joined.select("doc_id", "text", "code", "repeated"), None)
