@@ -24,11 +24,9 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near duplicates.
 
-    Rows that share an id are kept or dropped together, but rows with the same id and text are kept once.
+    Rows that share an id (or have none) are judged one by one; rows with the same id and text are kept once.
     """
-    groups = jaccard.near_duplicates(docs, width=5, percent=80)
-    dropped = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = _without(docs, settle(dropped, "dropped"))
+    kept = _without(docs, settle(jaccard.later_copies(docs, width=5, percent=80), "dropped"))
     again = kept.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("again__"))
     same = F.col("doc_id").eqNullSafe(F.col("again__"))
     again = jaccard.small(settle(again, "again"))
@@ -39,7 +37,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold an item of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    leaks = decontaminate.find_leaks(docs, benchmark).select("doc_id").distinct()
+    leaks = decontaminate.find_leaks(docs, benchmark, code=jaccard.text_code()).select("doc_id", "code").distinct()
     return _without(docs, settle(leaks, "leaks"))
 
 
@@ -61,9 +59,11 @@ def _names(docs: DataFrame):
     return [F.col(f"`{c}`") for c in docs.columns]
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    gone = jaccard.small(ids.select(F.col("doc_id").alias("gone__")))
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("gone__")), "left_anti")
+def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``docs`` without the rows of the given ids and text codes."""
+    gone = jaccard.small(rows.select(F.col("doc_id").alias("gone__"), F.col("code").alias("code__")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("gone__")) & (jaccard.text_code() == F.col("code__"))
+    return docs.join(gone, same, "left_anti")
 
 
 STAGES = [

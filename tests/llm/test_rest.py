@@ -125,6 +125,23 @@ def test_pipeline_of_odd_rows(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, no_docs(spark), FOLDER).count() == 0
 
 
+def test_stages_drop_rows_and_not_ids(spark):
+    item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").filter("text is not null").orderBy("item_id").first()["text"]
+    copy = " ".join(f"copy{i}" for i in range(80))
+    clean = [" ".join(f"{k}clean{i}" for i in range(40)) for k in range(4)]
+    rows = [(1, copy), (None, copy + " end"), (None, clean[0]), (None, clean[1]), (7, copy + " stop"), (7, clean[2])]
+    rows += [(None, "so " + item + " it"), (8, "so " + item + " it"), (8, clean[3])]
+    twins = " ".join(f"twin{i}" for i in range(80))
+    rows += [(9, twins), (9, twins + " more"), (None, item + " null twin"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.keep_one_of_each_group(spark, docs, FOLDER).collect()
+    texts = {(r.doc_id, r.text) for r in kept}
+    assert {(1, copy), (None, clean[0]), (None, clean[1]), (7, clean[2]), (8, clean[3]), (None, None)} <= texts
+    assert sum(r.doc_id == 9 for r in kept) == 1 and len(kept) == 8 and (8, "so " + item + " it") in texts
+    left = {(r.doc_id, r.text) for r in corpus_pipeline.drop_benchmark_leaks(spark, docs, FOLDER).collect()}
+    assert left == {r for r in rows if item not in (r[1] or "")}
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     found = corpus_pipeline.run(spark, FOLDER)

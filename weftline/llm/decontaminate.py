@@ -6,7 +6,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.text import chain, joined, mix, slices, words
@@ -151,6 +151,7 @@ def find_leaks(
     text_col: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
+    code: Column | None = None,
 ) -> DataFrame:
     """(doc_id, item_id, start_word, n_words, similarity) of the best window per document and item.
 
@@ -167,18 +168,25 @@ def find_leaks(
     items = items.filter("text is not null and item is not null").distinct()
     total = items.count()
     passes = max(1, -(-total // ITEMS_AT_ONCE))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    given_code = (F.lit("") if code is None else code).alias("code")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), given_code)
     found = None
     for k in range(passes):
         part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == k) if passes > 1 else items
         given = docs.sparkSession.sparkContext.broadcast(
             sorted((r["item"], r["text"].encode("utf-8")) for r in part.collect())
         )
-        leaks = rows.mapInArrow(_searcher(given), "doc_id long, item_id long, start_word long, n_words long, similarity double, row int, part int")
+        leaks = rows.mapInArrow(_searcher(given), _FOUND)
         found = leaks if found is None else found.unionByName(leaks)
     order = F.struct(F.col("similarity"), -F.col("start_word"))
-    best = found.groupBy("part", "row", "doc_id", "item_id").agg(F.max_by(F.struct("start_word", "n_words", "similarity"), order).alias("x"))
-    return best.select("doc_id", "item_id", "x.start_word", "x.n_words", "x.similarity")
+    best = found.groupBy("part", "row", "doc_id", "code", "item_id").agg(
+        F.max_by(F.struct("start_word", "n_words", "similarity"), order).alias("x")
+    )
+    more = [] if code is None else ["code"]
+    return best.select("doc_id", "item_id", "x.start_word", "x.n_words", "x.similarity", *more)
+
+
+_FOUND = "doc_id long, item_id long, start_word long, n_words long, similarity double, row int, part int, code string"
 
 
 def _searcher(given):
@@ -193,17 +201,18 @@ def _searcher(given):
             out: list[tuple] = []
             flat = chain(hashes, WORDS)
             hits = np.concatenate([[0], np.cumsum(index.known(flat))])
+            codes = batch.column(2)
             for i, doc in enumerate(batch.column(0).to_pylist()):
                 a, b = first[i], max(first[i], first[i + 1] - WORDS + 1)
                 if b > a and hits[b] > hits[a]:
                     for item, start, width, both, either in _search(flat[a:b], index):
-                        out.append((doc, index.ids[item], start, width + WORDS - 1, both / either, row + i, part))
+                        out.append((doc, index.ids[item], start, width + WORDS - 1, both / either, row + i, part, codes[i].as_py()))
             row += len(texts)
-            kinds = [pa.int64()] * 4 + [pa.float64(), pa.int32(), pa.int32()]
-            cols = list(zip(*out, strict=True)) or [()] * 7
+            kinds = [pa.int64()] * 4 + [pa.float64(), pa.int32(), pa.int32(), pa.string()]
+            cols = list(zip(*out, strict=True)) or [()] * 8
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=k) for c, k in zip(cols, kinds, strict=True)],
-                names=["doc_id", "item_id", "start_word", "n_words", "similarity", "row", "part"],
+                names=["doc_id", "item_id", "start_word", "n_words", "similarity", "row", "part", "code"],
             )
 
     return work

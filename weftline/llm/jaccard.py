@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.components import components
@@ -31,8 +31,8 @@ def small(df: DataFrame, limit: int = BROADCAST_VALUES) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def shingle_heads(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """Per row: id, set size n, class (hash of the whole set), and a prefix of the set in hash order.
+def shingle_heads(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, code: Column) -> DataFrame:
+    """Per row: id, set size n, class (hash of the whole set), a prefix of the set in hash order, and ``code``.
 
     Linked sets share at least ceil(share of the smaller) of a prefix that is as much longer than
     the usual one; rows that share less with any other class need no further look.
@@ -54,13 +54,13 @@ def shingle_heads(docs: DataFrame, id_col: str, text_col: str, width: int, perce
                     pa.array(sizes),
                     pa.array(np.array(classes, dtype=np.uint64).view(np.int64)),
                     lists(np.concatenate([[0], np.cumsum(take)]), values[keep]),
+                    batch.column(2),
                 ],
-                names=["doc_id", "n", "class", "head"],
+                names=["doc_id", "n", "class", "head", "code"],
             )
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias(text_col)).mapInArrow(
-        work, "doc_id long, n long, class long, head array<long>"
-    )
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias(text_col), code.alias("code__"))
+    return rows.mapInArrow(work, "doc_id long, n long, class long, head array<long>, code string")
 
 
 def _spare(n, percent: int):
@@ -176,8 +176,33 @@ def near_duplicates(
     Repeated rows and ids are kept, row by row; a null id is never a component's smallest if there is
     another. Columns other than id and text are ignored. Sets hold 64-bit hashes of shingles.
     """
+    rows = _labelled_rows(docs, id_col, text_col, width, percent, F.lit(""))
+    component = F.when(F.col("n") > 0, F.col("lowest.doc_id")).otherwise(F.col("doc_id"))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def text_code(text_col: str = "text") -> Column:
+    """What tells the texts of rows with the same id apart; null counts as empty."""
+    return F.md5(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def later_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85
+) -> DataFrame:
+    """(doc_id, code) of all rows but the first of each component of ``near_duplicates``.
+
+    ``code`` is the text's, so rows that share an id, also a null one, are judged one by one. The first has
+    the smallest id (null is last), then the smallest code; rows with its id and text are first as well.
+    """
+    rows = _labelled_rows(docs, id_col, text_col, width, percent, text_code(text_col))
+    later = ~(F.col("doc_id").eqNullSafe(F.col("lowest.doc_id")) & (F.col("code") == F.col("lowest.code")))
+    return rows.filter((F.col("n") > 0) & later).select("doc_id", "code").distinct()
+
+
+def _labelled_rows(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, code: Column) -> DataFrame:
+    """Per row: doc_id, n, code, and ``lowest``: id and code of the first row of its component."""
     spark = docs.sparkSession
-    rows = settle(shingle_heads(docs, id_col, text_col, width, percent), "heads")
+    rows = settle(shingle_heads(docs, id_col, text_col, width, percent, code), "heads")
     heads = rows.filter("n > 0").select("doc_id", "class", "n", F.explode("head").alias("shingle"))
     common = heads.groupBy("shingle").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
     common = settle(common.filter("lo <> hi").select("shingle"), "common")
@@ -244,15 +269,12 @@ def near_duplicates(
     more = settle(_linked(_across(listed, spans, labelled, percent), sets, percent), "links")
 
     final = components(links.unionByName(more)).select(F.col("node").alias("class"), "label")
-    firsts = rows.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("first"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("code"))
+    firsts = rows.filter("n > 0").groupBy("class").agg(F.min(rank).alias("first"))
     named = firsts.join(final, "class", "left").withColumn("label", F.coalesce("label", "class"))
     lowest = named.groupBy("label").agg(F.min("first").alias("lowest"))
     named = named.join(lowest, "label").select("class", F.col("lowest"))
-    return rows.select("doc_id", "n", "class").join(named, "class", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("lowest")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    return rows.select("doc_id", "n", "class", "code").join(named, "class", "left").select("doc_id", "n", "code", "lowest")
 
 
 def _least_sql(percent: int):
