@@ -270,6 +270,32 @@ def test_leaks_match_all_windows(spark, docs):
     assert {(r.doc_id, r.item_id): (r.similarity, r.start_word) for r in got} == expected and expected
 
 
+def test_leaks_with_runs_of_filler(spark):
+    rows, items = [], []
+    for k, (n, a, b) in enumerate([(400, 100, 125), (1000, 300, 340), (1000, 500, 560), (300, 20, 30)]):
+        passage = [f"p{k}x{i}" for i in range(n)]
+        items.append((k, " ".join(passage)))
+        rows.append((k, " ".join([f"lead{i}" for i in range(9)] + passage[:a] + ["-"] * (b - a) + passage[b:] + ["out"])))
+    items.append((9, " ".join(["."] * 30 + [f"q{i}" for i in range(200)])))
+    rows.append((9, "in " + " ".join(["."] * 20 + [f"q{i}" for i in range(200)]) + " out"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = decontaminate.find_leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    expected = plain_leaks(rows, items)
+    assert {(r.doc_id, r.item_id): (r.similarity, r.start_word) for r in got} == expected and len(expected) == 5
+
+
+def test_window_sums_of_repeated_shingles():
+    rng = np.random.default_rng(5)
+    for n, width, kinds in ((60, 9, 4), (40, 40, 3), (50, 7, 1000)):
+        text = rng.integers(0, kinds, n).astype(np.uint64)
+        starts = np.arange(n - width + 1)[:: 2]
+        got = decontaminate._window_sums(text, starts, width)
+        for row, s in zip(got, starts, strict=True):
+            many = Counter()
+            numbers = np.array([many.update([x]) or many[x] for x in text[s : s + width].tolist()])
+            assert (row == decontaminate._signs(decontaminate._numbered(text[s : s + width], numbers)).sum(axis=0)).all()
+
+
 def test_leaks_in_several_passes(spark, docs, monkeypatch):
     items = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
     once = sorted(map(tuple, decontaminate.find_leaks(docs, items).collect()))
