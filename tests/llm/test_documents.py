@@ -228,6 +228,16 @@ def test_contexts_find_unseen_identifiers(spark):
     assert text[20] == "please write to our <id> today" and text[3] == "please write to our <email> today" and text[22] is None
 
 
+def test_contexts_of_found_identifiers_find_more(spark):
+    rows = [(i, f"please write to our mail{i}@example{i}.com today") for i in range(200)]
+    rows += [(1000 + i, f"please write to our agentXY99{i} today and greet badge holder agentXY99{i} then") for i in range(20)]
+    rows += [(2000, "nothing but badge holder clerkZ7731 there"), (2001, "an order 123456 of 1999")]
+    rows += [(3000 + i, f"some loose value item77{i} here") for i in range(30)] + [(3100, "some loose value agentXY993 here")]
+    found = privacy.find_private(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: [r.text[s["start"] : s["end"]] for s in r.spans] for r in found.collect()}
+    assert got[2000] == ["clerkZ7731"] and got[1003] == ["agentXY993"] * 2 and got[2001] == got[3000] == []
+
+
 def test_private_data_of_odd_rows(spark):
     df = odd_docs(spark)
     found = privacy.find_private(df)

@@ -139,9 +139,13 @@ def find_private(
     ``base`` holds what the fixed patterns find. These strings are the seeds of a graph between strings
     and the words before them. In each round a pattern's confidence is the mean score of the distinct
     strings it introduces (one more than there are in the denominator), and a string's score is that of
-    its best pattern with enough support, 1 for seeds. Patterns that end at ``least_confidence`` with
-    ``least_support`` distinct strings add every identifier-shaped string that they introduce, as kind
-    ``id``. Base spans always stay, and added ones do not overlap them.
+    its best pattern with enough support, 1 for seeds; here only seeds are support. Patterns that end at
+    ``least_confidence`` with ``least_support`` distinct seeds are strong, and the strings that they introduce
+    are found, with the best such confidence as score. Then, until none is new, each further pattern is strong
+    whose found strings (seeds included) number ``least_support`` and whose confidence by these alone reaches
+    ``least_confidence``; it keeps that confidence, so no pattern supports itself. Strong patterns add every
+    identifier-shaped string that they introduce, as kind ``id``. Base spans always stay, and added ones do not
+    overlap them.
 
     Null texts count as empty. All rows and columns stay as they are, whatever their names; a table's
     own ``base`` or ``spans`` is replaced.
@@ -161,7 +165,20 @@ def find_private(
         score = edges.join(patterns, "pattern", "left").groupBy("instance").agg(
             F.greatest(F.max("seed"), F.coalesce(F.max("confidence"), F.lit(0.0))).alias("score")
         )
-    strong = patterns.filter(F.col("confidence") >= least_confidence).select("pattern")
+    strong = patterns.filter(F.col("confidence") >= least_confidence).select("pattern", "confidence")
+    strong = settle(strong, "strong")
+    more = strong
+    while not more.isEmpty():
+        found = edges.join(strong, "pattern", "left").groupBy("instance").agg(
+            F.greatest(F.max("seed"), F.coalesce(F.max("confidence"), F.lit(0.0))).alias("score")
+        )
+        found = found.filter(F.col("score") >= least_confidence)
+        known = edges.join(found, "instance", "left").groupBy("pattern")
+        more = known.agg((F.coalesce(F.sum("score"), F.lit(0.0)) / (F.count("*") + 1)).alias("confidence"), F.count("score").alias("support"))
+        more = more.filter((F.col("support") >= least_support) & (F.col("confidence") >= least_confidence))
+        more = settle(more.select("pattern", "confidence").join(strong, "pattern", "left_anti"), "more")
+        strong = settle(strong.unionByName(more), "strong")
+    strong = strong.select("pattern")
     new = cues.filter("not seed").select("row__", "start", "end", F.explode("patterns").alias("pattern"))
     new = new.join(strong, "pattern").select("row__", "start", "end").distinct()
     kind = KINDS.index("id")
