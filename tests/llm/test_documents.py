@@ -188,6 +188,14 @@ def test_units(spark, docs):
     assert units.drop_repeated_units(no_docs(spark)).count() == 0
 
 
+def test_units_without_blanks(spark):
+    line, said, key = "本サイトの内容の無断転載を禁じます", "これは最初の文章でとても長いものです。", "https://example.org/" + "a1b2" * 12
+    thai = "ขอสงวนลิขสิทธิ์ในเนื้อหาทั้งหมด"
+    rows = [(1, f"{line}\n{said}別の短い話。\n{key}\n{thai}"), (2, f"新しい話\n{line}\n前の文。{said}{said}\n{key}\n{thai}")]
+    got = {r.doc_id: r.kept for r in units.drop_repeated_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "新しい話\n\n前の文。\n\n"}
+
+
 PATTERNS = (
     r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",

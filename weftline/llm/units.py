@@ -11,11 +11,22 @@ from pyspark.sql import functions as F
 
 from weftline.session import settle
 
-# Units of fewer words stay: such lines recur by chance.
-LEAST_WORDS = 5
+# Units of fewer words stay: such lines recur by chance. A unit of so many characters is compared anyway.
+LEAST_WORDS, LONG_CHARS = 5, 50
 
-_END = re.compile(r"[.!?]+[ \t]+")
-_NO_MARKS = str.maketrans("", "", ".,;:!?\"'()[]")
+# Full-width marks end a sentence without a blank.
+_END = re.compile(r"[.!?]+[ \t]+|[。！？｡]+[」』）]*[ \t\u3000]*")
+_NO_MARKS = str.maketrans("", "", ".,;:!?\"'()[]。！？｡、，；：「」『』（）")
+# Scripts without blanks between words (Thai to Khmer, kana, Han); two characters count as a word.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
+def _compared(tokens: list[str], least_words: int) -> bool:
+    """Whether a unit is long enough, by words or by characters; one without any word is not."""
+    if len(tokens) >= least_words:
+        return True
+    whole = "".join(tokens)
+    return len(whole) >= LONG_CHARS or (not whole.isascii() and len(tokens) + len(_UNSPACED.findall(whole)) // 2 >= least_words)
 
 
 def _units(text: str):
@@ -44,7 +55,7 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str, least_words: int) -> Da
                     for start, end in _units(text):
                         n += 1
                         tokens = text[start:end].lower().translate(_NO_MARKS).split()
-                        if len(tokens) < least_words:
+                        if not _compared(tokens, least_words):
                             continue
                         digest = xxhash.xxh3_128_digest(" ".join(tokens).encode())
                         if digest in seen:
@@ -76,7 +87,9 @@ def drop_repeated_units(
 ) -> DataFrame:
     """Per row: doc_id, n_units, removed (array of start, end, in code points of the original), kept.
 
-    A unit is a sentence within a line (a line without sentence marks is one unit). Units are compared
+    A unit is a sentence within a line (a line without sentence marks is one unit). Units of fewer than
+    ``least_words`` words stay, unless they are long (``LONG_CHARS``); where a script has no blanks between
+    words, two characters count as one. Units are compared
     in lower case, without punctuation, with single spaces. Of equal units over the whole table the one
     in the smallest id stays (then the earlier row, then the earlier place); all others are removed.
     ``kept`` is the text that is left, joined; with ``removed`` it gives the original offsets.
