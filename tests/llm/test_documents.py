@@ -349,6 +349,24 @@ def test_language_on_held_out_documents(spark):
     assert {r.lang_pred for r in language.identify(odd, {}).collect()} == {"und"}
 
 
+def test_more_languages_than_at_once(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(70):
+        known = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(5)]
+        rows += [(100 * k + i, " ".join(rng.choice(known, 12)), f"l{k:02d}") for i in range(4)]
+    rows += [(9000, "", "l00"), (9001, None, None), (9002, "123", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language.identify(docs, language.learn(docs)).collect()}
+    learned = language.learn(docs)
+    assert len(learned) > 64 and len(got) == len(rows) and got[9000].lang_pred == got[9002].lang_pred == "und"
+    assert all(got[i].lang_pred == x for i, _, x in rows if i < 9000 and x in learned)
+    monkeypatch.setattr(language, "LANGUAGES_AT_ONCE", 1000)
+    for r in language.identify(docs, learned).collect():
+        one = got[r.doc_id]
+        assert (one.lang_pred, one.lang_rate) == (r.lang_pred, r.lang_rate) and one.lang_score == pytest.approx(r.lang_score)
+
+
 def test_phrases_are_the_longest_that_occur():
     text = language.letters("the cat sat on the mat and the dog ran after the cat")
     parser = language.Parser({"en": text})

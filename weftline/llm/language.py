@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.llm.text import SLICE_BYTES
+from weftline.session import settle
 
 # Labelled text that an automaton is built from, per language: at most this many documents, each with
 # this many characters from a place that its id picks, and this many characters in all.
 SAMPLE_DOCS, SAMPLE_PART, SAMPLE_CHARS = 400, 400, 60_000
-# Languages that can be learned at once: each costs about 12 MB in a task.
-MOST_LANGUAGES = 64
+# Languages that are sampled, or parsed with, at once: each costs about 12 MB in a task. More take more passes.
+LANGUAGES_AT_ONCE = 64
 # Characters that are parsed without a break; a phrase ends there for every language alike.
 STRETCH = 1024
 UNKNOWN = "und"
@@ -24,14 +25,17 @@ def sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) -> di
     """A bounded sample of labelled text per language, the same for the same rows in any order."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.filter("lang is not null and length(text) > 0").withColumn("place", F.xxhash64(F.col("id").cast("string")))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    if not counts:
-        return {}
+    counts = sorted((r["lang"], r["count"]) for r in rows.groupBy("lang").count().collect())
+    out = {}
+    for k in range(0, len(counts), LANGUAGES_AT_ONCE):
+        out |= _sample_some(rows, dict(counts[k : k + LANGUAGES_AT_ONCE]))
+    return out
+
+
+def _sample_some(rows: DataFrame, counts: dict[str, int]) -> dict[str, str]:
     # Ids are hashed evenly, so about four times the sample passes; the smallest hashes of it are taken.
     share = F.create_map(*(x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 4 * SAMPLE_DOCS / n)))))
-    near = rows.filter(F.pmod("place", F.lit(1 << 32)) < F.element_at(share, F.col("lang")) * (1 << 32))
+    near = rows.filter(F.pmod("place", F.lit(1 << 32)) < F.try_element_at(share, F.col("lang")) * (1 << 32))
     start = F.pmod(F.col("place"), F.greatest(F.length("text") - SAMPLE_PART, F.lit(1))).cast("int") + 1
     near = near.select("lang", "place", F.col("text").substr(start, F.lit(SAMPLE_PART)).alias("part"))
     found: dict[str, list] = {}
@@ -147,26 +151,29 @@ class Parser:
             out[:, k] = np.bincount(doc, weights=counts[k], minlength=len(texts)).astype(np.int64)
         return out
 
-    def predict(self, texts: list[str]) -> tuple[list[str], list[float], list[float]]:
-        """(language, score, phrases per letter) of each text."""
+    def best(self, texts: list[str]) -> list[tuple[str, float, float]]:
+        """(language, phrases per letter, those of the next language or infinity) of each text."""
         codes = [self.encode(t) for t in texts]
         letters_ = np.array([int((c != self.classes[" "]).sum()) for c in codes], dtype=np.int64)
         if not self.languages:
-            return [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
+            return [(UNKNOWN, 0.0, np.inf)] * len(texts)
         needed = self.phrases(codes) / np.maximum(letters_, 1)[:, None]
-        langs, scores, rates = [], [], []
+        out = []
         for i, row in enumerate(needed):
             if not letters_[i]:
-                langs.append(UNKNOWN)
-                scores.append(0.0)
-                rates.append(0.0)
+                out.append((UNKNOWN, 0.0, np.inf))
                 continue
             best = int(np.argmin(row))
-            others = np.delete(row, best)
-            langs.append(self.languages[best])
-            scores.append(float(1 - row[best] / others.min()) if len(others) and others.min() > 0 else 1.0)
-            rates.append(float(row[best]))
-        return langs, scores, rates
+            out.append((self.languages[best], float(row[best]), float(np.delete(row, best).min(initial=np.inf))))
+        return out
+
+
+def _better(old: tuple[str, float, float], new: tuple[str, float, float]) -> tuple[str, float, float]:
+    """The best and the next of two blocks of languages; the old block has the smaller names."""
+    if not (old[1] and new[1]):  # without letters, or a block without any text
+        return new if new[1] else old
+    first, second = (new, old) if new[1] < old[1] else (old, new)
+    return first[0], first[1], min(first[2], second[1])
 
 
 def identify(docs: DataFrame, texts: dict[str, str], text_col: str = "text") -> DataFrame:
@@ -176,11 +183,25 @@ def identify(docs: DataFrame, texts: dict[str, str], text_col: str = "text") ->
     needs the fewest phrases per letter wins, ties go to the smaller name. ``lang_score`` is the share of
     phrases that the best language saves over the next (0 to 1), ``lang_rate`` its phrases per letter.
     Null texts and texts without letters give ``und``, 0 and 0. Rows and other columns stay as they are;
-    columns of these three names are replaced.
+    columns of these three names are replaced. Beyond ``LANGUAGES_AT_ONCE`` languages, further blocks of
+    them take a pass each over the rows, which are written in between.
     """
-    new = ("lang_pred", "lang_score", "lang_rate")
-    docs = docs.drop(*new)
-    at = docs.columns.index(text_col)
+    docs = docs.drop(*_NEW)
+    names = sorted(k for k, v in texts.items() if letters(v))
+    blocks = [names[k : k + LANGUAGES_AT_ONCE] for k in range(0, len(names), LANGUAGES_AT_ONCE)] or [[]]
+    for k, block in enumerate(blocks):
+        docs = _pass(docs if k == 0 else settle(docs, "languages"), {x: texts[x] for x in block}, text_col, k > 0)
+    return docs
+
+
+_NEW = ("lang_pred", "lang_score", "lang_rate")
+
+
+def _pass(docs: DataFrame, texts: dict[str, str], text_col: str, again: bool) -> DataFrame:
+    """The three columns from one block of languages, or from it and the blocks before."""
+    plain = docs.drop(*_NEW)
+    at = plain.columns.index(text_col)
+    wide = len(plain.columns)
     given = docs.sparkSession.sparkContext.broadcast(texts)
 
     def work(batches):
@@ -191,10 +212,18 @@ def identify(docs: DataFrame, texts: dict[str, str], text_col: str = "text") ->
 
             def out(first, rows, batch=batch):
                 part = batch.slice(first, len(rows))
-                langs, scores, rates = parser.predict(rows)
+                found = parser.best(rows)
+                if again:
+                    known = [part.column(wide + k).to_pylist() for k in range(3)]
+                    # The next rate follows from the score: score = 1 - rate / next.
+                    old = [(x, r, r / (1 - s) if s < 1 else np.inf) for x, s, r in zip(*known, strict=True)]
+                    found = [_better(a, b) for a, b in zip(old, found, strict=True)]
+                langs = [x for x, _, _ in found]
+                scores = [1 - r / n if r else 0.0 for _, r, n in found]
+                rates = [r for _, r, _ in found]
                 return pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())],
-                    names=[*part.schema.names, *new],
+                    [*part.columns[:wide], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())],
+                    names=[*part.schema.names[:wide], *_NEW],
                 )
 
             for i, text in enumerate(batch.column(at)):
@@ -207,8 +236,8 @@ def identify(docs: DataFrame, texts: dict[str, str], text_col: str = "text") ->
             if rows:
                 yield out(first, rows)
 
-    fields = [T.StructField(new[0], T.StringType()), *(T.StructField(c, T.DoubleType()) for c in new[1:])]
-    return docs.mapInArrow(work, T.StructType([*docs.schema.fields, *fields]))
+    fields = [T.StructField(_NEW[0], T.StringType()), *(T.StructField(c, T.DoubleType()) for c in _NEW[1:])]
+    return docs.mapInArrow(work, T.StructType([*plain.schema.fields, *fields]))
 
 
 def held_out(id_col: str = "doc_id"):
