@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from weftline.llm import (
     chat,
     decontaminate,
+    fingerprints,
     jaccard,
     language,
     neighbours,
@@ -110,6 +111,19 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    found = fingerprints.compare_edited(_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.rendered(F.col("fingerprint")).alias("fingerprint"),
+        fingerprints.rendered(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_private_data": op1_private_data,
     "op2_training_order": op2_training_order,
@@ -121,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_packing": op10_packing,
+    "op12_fingerprints": op12_fingerprints,
 }
 
 SQL: dict[str, str] = {"op9_chat_formatting": OP9_SQL}
