@@ -9,7 +9,7 @@ from weftline.llm import fingerprints, queries
 from weftline.llm.fingerprints import GRAM, WINDOW
 
 
-ALONE = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+ALONE = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\u9FFF\uF900-\uFAFF\U00020000-\U0003FFFF"
 WORD = regex.compile(rf"[[\p{{L}}\p{{M}}\p{{N}}]--[{ALONE}]]+|[^ \t\n\x0b\f\r]", regex.V1)
 
 
