@@ -19,7 +19,9 @@ from weftline.llm import (
     packing,
     privacy,
     suffixes,
+    trie,
     units,
+    whitening,
 )
 
 ORDER_KEY = 20_240_601
@@ -111,6 +113,36 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = trie.placed(trie.coded_turns(_table(spark, folder, "conversations")))
+    return trie.prefix_trie(*trie.grafted(turns))
+
+
+# DuckDB has no CRC-32, so it is spelled out; prefixes are lists of turns, and subtrees are told by their beginning.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''),
+    x -> ascii(x)::BIGINT)), (s, x) -> list_reduce(list_prepend(xor(s, x), range(8)),
+    (v, i) -> CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END)), 4294967295::BIGINT)"""
+OP11_SQL = f"""WITH turns AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS code
+        FROM conversations WHERE conv_id IS NOT NULL),
+    placed AS (SELECT c, code, strlen(text) AS size,
+        row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, code) AS place FROM turns),
+    convs AS (SELECT c, c - c % 5 AS base, {_CRC} % 9 AS h FROM (SELECT DISTINCT c FROM placed)),
+    made AS (SELECT v.c, p.place, 0 AS own, p.code, p.size FROM convs v JOIN placed p ON p.c = v.base AND p.place <= v.h
+        UNION ALL SELECT v.c, p.place, 1, p.code, p.size FROM convs v JOIN placed p ON p.c = v.c AND p.place > v.h),
+    paths AS (SELECT c, list(code ORDER BY own, place) AS path, list(size ORDER BY own, place) AS sizes FROM made GROUP BY c
+        UNION ALL SELECT c, [], [] FROM convs WHERE c NOT IN (SELECT c FROM made)),
+    members AS (SELECT c, d, path[1:d] AS node, len(path) = d AS ends, coalesce(sizes[d], 0) AS size
+        FROM (SELECT c, path, sizes, unnest(range(len(path) + 1)) AS d FROM paths)),
+    nodes AS (SELECT node, d, min(c) AS c, count(*) AS n, any_value(size) AS size, bool_and(ends) AS leaf,
+        sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends FROM members GROUP BY node, d),
+    below AS (SELECT m.node, count(*) FILTER (v.d = m.d + 1) AS children, count(*) FILTER (v.leaf) AS leaves,
+        sum((v.n - 1) * v.size) AS saved FROM nodes v JOIN members m ON m.c = v.c AND m.d <= v.d GROUP BY m.node)
+    SELECT n.c AS conv_id, n.d AS depth, up.c AS parent_conv_id, n.n AS n_convs, children AS n_children,
+        leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+    FROM nodes n JOIN below b ON b.node = n.node LEFT JOIN nodes up ON n.d > 0 AND up.node = n.node[1:n.d - 1]"""
+
+
 def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     found = fingerprints.compare_edited(_table(spark, folder, "documents"))
     return found.select(
@@ -124,6 +156,10 @@ def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.by_component(whitening.whiten(_table(spark, folder, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_private_data": op1_private_data,
     "op2_training_order": op2_training_order,
@@ -135,7 +171,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_packing": op10_packing,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_fingerprints": op12_fingerprints,
+    "op13_whitening": op13_whitening,
 }
 
-SQL: dict[str, str] = {"op9_chat_formatting": OP9_SQL}
+SQL: dict[str, str] = {"op9_chat_formatting": OP9_SQL, "op11_prefix_trie": OP11_SQL}
