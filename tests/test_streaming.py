@@ -12,10 +12,10 @@ from weftline.functions.columns import words
 from weftline.operators.joins import interval_join
 from weftline.plans.streams import with_sentinel
 from weftline.session import scratch
-from weftline.streaming import codecs, dedup, sinks, state
+from weftline.streaming import codecs, dedup, sinks, state, timers
 from weftline.streaming.joins import stream_equi_join, stream_interval_join, with_table
 from weftline.streaming.progress import dropped_rows, progress_table
-from weftline.streaming.run import finish, run, run_all, settings, start
+from weftline.streaming.run import finish, run, run_all, run_until, settings, start
 from weftline.streaming.sources import replay, replay_batches, table_stream, text_stream
 from weftline.streaming.windows import session_windowed, windowed
 
@@ -354,6 +354,68 @@ def test_silent_users_time_out_in_processing_time(spark):
         query.stop()
 
 
+# ---- timers ----
+
+
+def reports_by_definition(data, minutes, after):
+    """Per key and period end: rows and sum in the period, and up to its end."""
+    step, epoch = datetime.timedelta(minutes=minutes), datetime.datetime(1970, 1, 1)
+    sums, ends = {}, set()
+    for key, when, value in data:
+        end = epoch + ((when - epoch) // step + 1) * step
+        n, total = sums.get((key, end), (0, 0.0))
+        sums[key, end] = n + 1, total + (value or 0.0)
+        ends |= {(key, end + k * step) for k in range(after + 1)}
+    out = []
+    for key, end in ends:
+        upto = [v for (k, e), v in sums.items() if k == key and e <= end]
+        out.append((key, end, *sums.get((key, end), (0, 0.0)), sum(n for n, _ in upto), sum(x for _, x in upto)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("cut, after", [(1, 0), (3, 2), (12, 1)])
+def test_periodic_reports_do_not_depend_on_the_cut(spark, cut, after):
+    """Also with one row per batch, a key that holds most rows, gaps, and null keys and values."""
+    start_of = datetime.datetime(2024, 1, 1)
+    r = random.Random(3)
+    data = [(r.choice([1, 1, 1, 2, None]), start_of + datetime.timedelta(minutes=r.randrange(600)), r.choice([1.0, 2.5, None])) for _ in range(12)]
+    data.sort(key=lambda row: row[1])
+    schema = "k LONG, t TIMESTAMP, v DOUBLE"
+    size = -(-len(data) // cut)
+    parts = [data[i : i + size] for i in range(0, len(data), size)] + [[(9, datetime.datetime(2100, 1, 1), None)]]
+    stream = replay_batches([spark.createDataFrame(p, schema) for p in parts]).stream()
+    made = timers.periodic_reports(stream, "k", "t", "v", 3_600_000, "10 minutes", after=after)
+    found = run(made, conf=timers.TIMER_SETTINGS).rows()
+    assert rows(found.filter("k IS NULL OR k < 9")) == reports_by_definition(data, 60, after)
+
+
+def test_forgotten_sums_start_anew(spark):
+    start_of = datetime.datetime(2024, 1, 1)
+    data = [(1, 0, 1.0), (1, 5, 2.0), (1, 30, 4.0), (9, 24 * 365, None)]
+    parts = [[(k, start_of + datetime.timedelta(hours=h), v)] for k, h, v in data]
+    stream = replay_batches([spark.createDataFrame(p, "k LONG, t TIMESTAMP, v DOUBLE") for p in parts]).stream()
+    made = timers.periodic_reports(stream, "k", "t", "v", 3_600_000, "1 minute", after=0, forget_ms=10 * 3_600_000)
+    found = run(made, conf=timers.TIMER_SETTINGS).rows().filter("k = 1").select("n", "n_so_far", "total_so_far")
+    assert rows(found) == [(1, 1, 1.0), (1, 1, 4.0), (1, 2, 3.0)]
+
+
+def test_silence_is_reported_once_and_forgotten(spark):
+    stream = replay_batches([spark.createDataFrame([("a", True, 1), ("a", None, 2), ("b", True, 2), ("b", False, 3), (None, True, 1)], "k STRING, up BOOLEAN, n LONG")]).stream()
+    made = timers.idle_status(stream, "k", "up", "n", 500)
+    result = run_until(made, lambda p: p["batchId"] > 0 and p["stateOperators"][0]["numRowsTotal"] == 0, conf=timers.TIMER_SETTINGS)
+    first = [("a", True, True), ("b", False, False), (None, True, True)]
+    later = [("a", True, False), ("b", False, False), (None, True, False)]
+    assert rows(result.versions(), "k", "was_active", "active") == sorted(first + later, key=repr)
+    assert rows(result.latest(["k"])) == sorted(later, key=repr)
+
+
+def test_a_condition_that_never_comes_ends_in_a_time_out(spark):
+    stream = replay_batches([spark.range(2)]).stream()
+    with pytest.raises(TimeoutError):
+        run_until(stream, lambda p: False, "append", timeout=3)
+    assert not spark.streams.active
+
+
 # ---- sinks ----
 
 

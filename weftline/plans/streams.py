@@ -18,10 +18,10 @@ from weftline.plans.registry import query
 from weftline.plans.shaping import BEYOND_EDGES, DELAY_EDGES, count_numbers, sensor_lines
 from weftline.schemas import EVENT_PAYLOAD
 from weftline.session import scratch
-from weftline.streaming import codecs, dedup, sinks, state
+from weftline.streaming import codecs, dedup, sinks, state, timers
 from weftline.streaming.joins import stream_equi_join, stream_interval_join, with_table
 from weftline.streaming.progress import progress_table
-from weftline.streaming.run import finish, run, run_all, start
+from weftline.streaming.run import finish, run, run_all, run_until, start
 from weftline.streaming.sources import replay, table_stream, text_stream
 from weftline.streaming.windows import (
     MERGE_SESSIONS_EARLY,
@@ -481,3 +481,55 @@ def state_alerts(t):
     """The set of alerts; it is the same however the input is cut."""
     stream = replay(user_actions(t.events), "event_id").stream()
     return run(state.track_status(stream, "user_id", "action", "event_id", alerts=True), "append").rows().distinct()
+
+
+DAY_MS = 24 * 3_600_000
+
+
+@query(
+    "state_periodic",
+    """WITH e AS (SELECT user_id, date_trunc('day', ts) + INTERVAL 1 DAY AS period_end, value FROM events),
+    ends AS (SELECT user_id, period_end FROM e UNION SELECT user_id, period_end + INTERVAL 1 DAY FROM e),
+    sums AS (SELECT ends.user_id, ends.period_end, count(e.user_id) AS n, coalesce(sum(e.value), 0) AS total FROM ends
+        LEFT JOIN e ON e.user_id = ends.user_id AND e.period_end = ends.period_end GROUP BY ALL)
+    SELECT user_id, CAST(period_end AS TIMESTAMP) AS period_end, n, round(total, 2) AS total,
+        CAST(sum(n) OVER w AS BIGINT) AS n_so_far, round(sum(total) OVER w, 2) AS total_so_far
+    FROM sums WINDOW w AS (PARTITION BY user_id ORDER BY period_end)""",
+)
+def state_periodic(t):
+    """A daily task per user: the day's events and all so far, until one day without events has gone by."""
+    events = with_sentinel(timed_events(t), "ts")
+    reports = timers.periodic_reports(
+        replay(events, "ts").stream(), "user_id", "ts", "value", DAY_MS, "10 minutes", forget_ms=1000 * DAY_MS
+    )
+    rows = run(reports, conf=timers.TIMER_SETTINGS).rows().filter(F.col("user_id").isNotNull())
+    return rows.select(
+        "user_id",
+        F.col("period_end").cast("timestamp_ntz").alias("period_end"),
+        "n",
+        F.round("total", 2).alias("total"),
+        "n_so_far",
+        F.round("total_so_far", 2).alias("total_so_far"),
+    )
+
+
+@query(
+    "state_idle_timeout",
+    """SELECT user_id, coalesce(arg_max(event_type, event_id) FILTER (event_type IN ('click', 'error')) = 'click', false)
+    AS was_active, false AS active FROM events GROUP BY user_id""",
+)
+def state_idle_timeout(t):
+    """Every user falls silent once the table has been read; runs until the last state is gone.
+
+    The input is one micro-batch: processing time that passes between two would be silence as well.
+    """
+    kind = F.col("event_type")
+    stream = table_stream(t.spark, t.path("events")).withColumn(
+        "moves", F.when(kind == "click", True).when(kind == "error", False)
+    )
+    status = timers.idle_status(stream, "user_id", "moves", "event_id", idle_ms=1000)
+
+    def all_gone(report) -> bool:
+        return report["batchId"] > 0 and all(o["numRowsTotal"] == 0 for o in report["stateOperators"])
+
+    return run_until(status, all_gone, conf=timers.TIMER_SETTINGS).latest(["user_id"])

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from threading import Event
-from time import sleep
+from time import monotonic, sleep
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -211,6 +211,38 @@ def run(
     return StreamResult(spark, path, df.schema, mode, batches, progress)
 
 
+def run_until(
+    df: DataFrame,
+    done: Callable[[dict], bool],
+    mode: str = "update",
+    every: str = "1 second",
+    timeout: float = 600,
+    conf: Mapping[str, str] | None = None,
+) -> StreamResult:
+    """Run a stream that does not end by itself until ``done`` is true of a progress report, then stop it.
+
+    For results that time itself brings about. A TimeoutError is raised after ``timeout`` seconds.
+    """
+    spark = df.sparkSession
+    path, checkpoint = scratch(spark, "stream"), scratch(spark, "checkpoint")
+    batches: list[int] = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        batches.append(number)
+
+    query = start(df, mode, path, checkpoint, every=every, on_batch=write, conf=conf)
+    try:
+        end = monotonic() + timeout
+        while query.exception() is None and not any(done(p) for p in query.recentProgress):
+            if monotonic() > end:
+                raise TimeoutError(f"the query had not come to its end after {timeout} seconds")
+            sleep(0.2)
+    finally:
+        query.stop()
+    return StreamResult(spark, path, df.schema, mode, sorted(batches), finish(query))
+
+
 def run_all(streams: Sequence[tuple[str, DataFrame, str]]) -> dict[str, StreamResult]:
     """Run several (name, stream, mode) side by side in one session, each with its own checkpoint.
 
