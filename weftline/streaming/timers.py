@@ -18,16 +18,17 @@ TIMER_SETTINGS = {
 }
 REPORT = "key string, period_end timestamp, n long, total double, n_so_far long, total_so_far double"
 REPORT_COLUMNS = ("key", "period_end", "n", "total", "n_so_far", "total_so_far")
+PERIODS = "n long, total double, reported long, ends array<long>, counts array<long>, sums array<double>"
 SILENCE = "key string, was_active boolean, active boolean"
 
 
 class PeriodicReport(StatefulProcessor):
     """At the end of every period of a key one report: what came in it, and all so far.
 
-    State per key: sums of the periods that are still to be reported, by their end; and the sums of those reported.
-    A timer stands at the end of each period with input and, as the task is periodic, of the ``after`` periods
-    that follow. With ``forget`` one more timer, so long after a report, drops the sums of a key without
-    later reports.
+    State per key, in one value: sums of the periods still to be reported, by their end; and the sums of those
+    reported. A timer stands at the end of each period with input and, as the task is periodic, of the ``after``
+    periods that follow. With ``forget`` one more timer, so long after a report, drops the state of a key
+    without later reports.
     """
 
     def __init__(self, period_ms: int, after: int, forget_ms: int | None):
@@ -35,34 +36,48 @@ class PeriodicReport(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.due = handle.getMapState("due", "period long", "n long, total double")
-        self.done = handle.getValueState("done", "n long, total double, reported long")
+        self.state = handle.getValueState("state", PERIODS)
+
+    def _get(self) -> tuple[int, float, int | None, dict[int, tuple[int, float]]]:
+        if not self.state.exists():
+            return 0, 0.0, None, {}
+        n, total, reported, ends, counts, sums = self.state.get()
+        return n, total, reported, dict(zip(ends, zip(counts, sums)))
+
+    def _put(self, n: int, total: float, reported: int | None, due: dict[int, tuple[int, float]]) -> None:
+        counts, sums = ([v[i] for v in due.values()] for i in (0, 1))
+        self.state.update((n, total, reported, list(due), counts, sums))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        *done, due = self._get()
+        known = set(due)
         for frame in rows:
-            sums = frame.groupby("period")[["n", "total"]].sum()
-            for period, n, total in zip(sums.index.tolist(), sums["n"].tolist(), sums["total"].tolist()):
+            for period, n, total in zip(frame["period"].tolist(), frame["n"].tolist(), frame["total"].tolist()):
                 for k in range(self.after + 1):
-                    end = (period + k * self.period,)
-                    known = self.due.getValue(end) if self.due.containsKey(end) else (0, 0.0)
-                    self.due.updateValue(end, (known[0], known[1]) if k else (known[0] + n, known[1] + total))
-                    self.handle.registerTimer(end[0])
+                    end = period + k * self.period
+                    before = due.get(end, (0, 0.0))
+                    due[end] = before if k else (before[0] + n, before[1] + total)
+        for end in due.keys() - known:
+            self.handle.registerTimer(end)
+        self._put(*done, due)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         at = int(expiredTimerInfo.getExpiryTimeInMs())
-        before = self.done.get() if self.done.exists() else (0, 0.0, None)
-        if before[2] is not None and self.forget and before[2] + self.forget <= at:
-            self.done.clear()
-            before = (0, 0.0, None)
-        if self.due.containsKey((at,)):
-            n, total = self.due.getValue((at,))
-            self.due.removeKey((at,))
-            self.done.update((before[0] + n, before[1] + total, at))
+        n, total, reported, due = self._get()
+        if self.forget and reported is not None and reported + self.forget <= at:
+            n, total, reported = 0, 0.0, None
+        if at in due:
+            now = due.pop(at)
+            n, total, reported = n + now[0], total + now[1], at
             if self.forget:
                 self.handle.registerTimer(at + self.forget)
-            row = (key[0], pd.Timestamp(at, unit="ms"), n, total, before[0] + n, before[1] + total)
+            row = (key[0], pd.Timestamp(at, unit="ms"), *now, n, total)
             yield pd.DataFrame({name: [v] for name, v in zip(REPORT_COLUMNS, row)})
+        if due or reported is not None:
+            self._put(n, total, reported, due)
+        else:
+            self.state.clear()
 
     def close(self) -> None:
         pass
