@@ -488,23 +488,23 @@ DAY_MS = 24 * 3_600_000
 
 @query(
     "state_periodic",
-    """WITH e AS (SELECT user_id, date_trunc('day', ts) + INTERVAL 1 DAY AS period_end, value FROM events),
-    ends AS (SELECT user_id, period_end FROM e UNION SELECT user_id, period_end + INTERVAL 1 DAY FROM e),
-    sums AS (SELECT ends.user_id, ends.period_end, count(e.user_id) AS n, coalesce(sum(e.value), 0) AS total FROM ends
-        LEFT JOIN e ON e.user_id = ends.user_id AND e.period_end = ends.period_end GROUP BY ALL)
-    SELECT user_id, CAST(period_end AS TIMESTAMP) AS period_end, n, round(total, 2) AS total,
+    """WITH e AS (SELECT event_type, date_trunc('day', ts) + INTERVAL 1 DAY AS period_end, value FROM events),
+    ends AS (SELECT event_type, period_end FROM e UNION SELECT event_type, period_end + INTERVAL 1 DAY FROM e),
+    sums AS (SELECT ends.event_type, ends.period_end, count(e.event_type) AS n, coalesce(sum(e.value), 0) AS total FROM ends
+        LEFT JOIN e ON e.event_type = ends.event_type AND e.period_end = ends.period_end GROUP BY ALL)
+    SELECT event_type, CAST(period_end AS TIMESTAMP) AS period_end, n, round(total, 2) AS total,
         CAST(sum(n) OVER w AS BIGINT) AS n_so_far, round(sum(total) OVER w, 2) AS total_so_far
-    FROM sums WINDOW w AS (PARTITION BY user_id ORDER BY period_end)""",
+    FROM sums WINDOW w AS (PARTITION BY event_type ORDER BY period_end)""",
 )
 def state_periodic(t):
-    """A daily task per user: the day's events and all so far, until one day without events has gone by."""
+    """A daily task per kind of event: those of the day and all so far, until a day without any has gone by."""
     events = with_sentinel(timed_events(t), "ts")
     reports = timers.periodic_reports(
-        replay(events, "ts").stream(), "user_id", "ts", "value", DAY_MS, "10 minutes", forget_ms=1000 * DAY_MS
+        replay(events, "ts").stream(), "event_type", "ts", "value", DAY_MS, "10 minutes", forget_ms=1000 * DAY_MS
     )
-    rows = run(reports, conf=timers.TIMER_SETTINGS).rows().filter(F.col("user_id").isNotNull())
+    rows = run(reports, conf=timers.TIMER_SETTINGS).rows().filter(F.col("event_type").isNotNull())
     return rows.select(
-        "user_id",
+        "event_type",
         F.col("period_end").cast("timestamp_ntz").alias("period_end"),
         "n",
         F.round("total", 2).alias("total"),
