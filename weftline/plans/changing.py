@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from weftline.operators import lake
+from weftline.operators.versions import VersionedTable
 from weftline.plans.registry import query
 from weftline.session import scratch
 
@@ -161,3 +164,85 @@ def lake_history(t):
 def lake_create_empty(t):
     empty = lake.create_empty(scratch(t.spark, "empty"), t.orders.schema, t.spark)
     return lake.append_strict(empty, t.orders)
+
+
+# ---- versions in a folder ----
+
+_CLOCK = [datetime.datetime(2024, 1, d, tzinfo=datetime.timezone.utc) for d in range(1, 9)]
+
+
+def versioned_orders(t):
+    """Orders in versions: 0 finished ones, 1 the open ones (written twice), 2 an update, 3 a delete, 4 a few changed rows."""
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    table = VersionedTable(t.spark, scratch(t.spark, "orders"), rows.schema, ("o_orderkey",))
+    table.overwrite(rows.filter("o_orderstatus = 'F'"), at=_CLOCK[0])
+    for _ in range(2):
+        table.append(rows.filter("o_orderstatus = 'O'"), version=1, at=_CLOCK[1])
+    table.update("o_totalprice < 100000", {"o_totalprice": "o_totalprice + 1", "o_orderstatus": "'L'"}, at=_CLOCK[2])
+    table.delete("o_totalprice > 300000", at=_CLOCK[3])
+    again = rows.filter("o_orderkey % 10 = 0").withColumn("o_orderstatus", F.lit("X"))
+    table.append(again, at=_CLOCK[4])
+    return table
+
+
+_V1 = "(SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O'))"
+_V2 = f"""(SELECT o_orderkey, CASE WHEN o_totalprice < 100000 THEN 'L' ELSE o_orderstatus END AS o_orderstatus,
+    CASE WHEN o_totalprice < 100000 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM {_V1})"""
+_V3 = f"(SELECT * FROM {_V2} WHERE o_totalprice <= 300000)"
+_V4 = f"""(SELECT * FROM {_V3} WHERE o_orderkey % 10 <> 0
+    UNION ALL SELECT o_orderkey, 'X', o_totalprice FROM orders WHERE o_orderkey % 10 = 0)"""
+
+
+@query("lake_append_version", f"SELECT * FROM {_V4}")
+def lake_append_version(t):
+    """The newest version, read from a snapshot of version 2 and what came later."""
+    table = versioned_orders(t)
+    table.compact(2)
+    return table.read()
+
+
+@query("lake_read_version", f"SELECT 1 AS v, * FROM {_V1} UNION ALL SELECT 3, * FROM {_V3}")
+def lake_read_version(t):
+    """An older version by number, and one by time."""
+    table = versioned_orders(t)
+    by_time = table.read(as_of=_CLOCK[3] + datetime.timedelta(hours=5))
+    return table.read(1).select(F.lit(1).alias("v"), "*").unionByName(by_time.select(F.lit(3).alias("v"), "*"))
+
+
+@query(
+    "lake_overwrite_version",
+    f"""SELECT 4 AS v, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM {_V4}
+    UNION ALL SELECT 5, count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders WHERE o_orderstatus = 'P'""",
+)
+def lake_overwrite_version(t):
+    """A version that replaces everything, and the one before it, which can still be read."""
+    table = versioned_orders(t)
+    table.overwrite(t.orders.filter("o_orderstatus = 'P'").select(*table.schema.names), at=_CLOCK[5])
+    measures = [F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys")]
+    before, after = (table.read(v).agg(*measures).select(F.lit(v).alias("v"), "*") for v in (4, 5))
+    return before.unionByName(after)
+
+
+@query(
+    "lake_operations",
+    f"""WITH n AS (SELECT (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS f, (SELECT count(*) FROM {_V1}) AS v1,
+        (SELECT count(*) FROM {_V1} WHERE o_totalprice < 100000) AS hit, (SELECT count(*) FROM {_V3}) AS v3,
+        (SELECT count(*) FROM orders WHERE o_orderkey % 10 = 0) AS again)
+    SELECT CAST(v AS BIGINT) AS version, operation, parameters, CAST(DATE '2024-01-01' + v AS VARCHAR) AS day, r AS rows_read,
+        w AS rows_written, u AS rows_updated, d AS rows_deleted
+    FROM (SELECT 0 AS v, 'OVERWRITE' AS operation, '' AS parameters, 0 AS r, f AS w, 0 AS u, 0 AS d FROM n
+        UNION ALL SELECT 1, 'MERGE', '', 0, v1 - f, 0, 0 FROM n
+        UNION ALL SELECT 2, 'UPDATE', 'predicate=o_totalprice < 100000; set o_orderstatus=''L''; set o_totalprice=o_totalprice + 1', v1, hit, hit, 0 FROM n
+        UNION ALL SELECT 3, 'DELETE', 'predicate=o_totalprice > 300000', v1, 0, 0, v1 - v3 FROM n
+        UNION ALL SELECT 4, 'MERGE', '', 0, again, 0, 0 FROM n)""",
+)
+def lake_operations(t):
+    """The history with parameters and the rows each version read, wrote, updated and deleted."""
+    given = F.array_sort(F.transform(F.map_entries("parameters"), lambda e: F.concat_ws("=", e["key"], e["value"])))
+    return versioned_orders(t).history().select(
+        "version",
+        "operation",
+        F.array_join(given, "; ").alias("parameters"),
+        F.date_format("commit_ts", "yyyy-MM-dd").alias("day"),
+        *("rows_read", "rows_written", "rows_updated", "rows_deleted"),
+    )
