@@ -8,7 +8,7 @@ KIND = "vec_id long, embedding array<double>, n string, x string, deviation stri
 
 
 def table(spark, rows):
-    return spark.createDataFrame([(i, v, "n", "x", "d") for i, v in rows], KIND)
+    return spark.createDataFrame([(i, v and [c if c is None else float(c) for c in v], "n", "x", "d") for i, v in rows], KIND)
 
 
 def plain(rows, k=whitening.COMPONENTS):
