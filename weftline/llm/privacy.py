@@ -21,7 +21,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
-_TOKEN = re.compile(r"\S*[0-9]\S*")
+_TOKEN = re.compile(r"\S+")
 _EDGES = "\"'`.,;:!?()[]{}<>"
 # The words before an identifier that make its context: this far back, in characters.
 _BEFORE = 48
@@ -78,6 +78,8 @@ def _contexts(text: str, spans: list[tuple[int, int, int]]):
     taken = sorted(items)
     k = 0
     for m in _TOKEN.finditer(text):
+        if not _DIGIT.search(text, m.start(), m.end()):
+            continue
         while k < len(taken) and taken[k][1] <= m.start():
             k += 1
         if k < len(taken) and taken[k][0] < m.end():

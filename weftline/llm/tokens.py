@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 
 # How a byte-level vocabulary of this kind splits a text before its merges (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# Longer runs of blanks (of the signs that the pattern calls \s) overflow its engine's stack at some hundred thousands.
+_LONG_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
+
 
 def _entries(path: str) -> dict[bytes, int]:
     """The bytes that each id stands for.
@@ -49,4 +53,12 @@ class Encoder:
             self.lengths[i] = len(entry)
 
     def ids(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode_ordinary(text), dtype="<u4")
+        """The ids of a text; a long run of blanks, but for its last before other signs, is one piece of its own."""
+        found, at = [], 0
+        for run in _LONG_BLANKS.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            found += self.model.encode_ordinary(text[at : run.start()])
+            found += self.model._encode_single_piece(text[run.start() : end].encode())
+            at = end
+        found += self.model.encode_ordinary(text[at:])
+        return np.array(found, dtype="<u4")

@@ -14,8 +14,8 @@ from weftline.session import settle
 # Units of fewer words stay: such lines recur by chance. A unit of so many characters is compared anyway.
 LEAST_WORDS, LONG_CHARS = 5, 50
 
-# Full-width marks end a sentence without a blank.
-_END = re.compile(r"[.!?]+[ \t]+|[。！？｡]+[」』）]*[ \t\u3000]*")
+# Full-width marks end a sentence without a blank. A match begins at the first mark of a run, which keeps runs linear.
+_END = re.compile(r"(?<![.!?])[.!?]+[ \t]+|[。！？｡]+[」』）]*[ \t\u3000]*")
 _NO_MARKS = str.maketrans("", "", ".,;:!?\"'()[]。！？｡、，；：「」『』（）")
 # Scripts without blanks between words (Thai to Khmer, kana, Han); two characters count as a word.
 _UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
