@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,10 +11,25 @@ from weftline.llm import decontaminate, jaccard, language, packing, privacy
 from weftline.llm.queries import VOCABULARY
 from weftline.session import settle
 
+# Texts and sets of documents go to Python in batches of so many bytes, not only of so many rows, as each
+# core of an executor holds some of them twice.
+BATCH_BYTES = "4m"
 # A text of at least so many letters that needs so many phrases per letter is in no learned language.
 LEAST_LETTERS, REJECTED_RATE = 50, 0.5
 
 
+def bounded_batches(stage):
+    """The stage with the session's Arrow batches bounded by ``BATCH_BYTES``."""
+
+    @wraps(stage)
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return bounded
+
+
+@bounded_batches
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters and those in no language that the labelled ones teach."""
     found = language.identify(docs, language.learn(docs))
@@ -21,6 +38,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return found.filter((F.col("lang_pred") != language.UNKNOWN) & ~strange).select(*_names(docs))
 
 
+@bounded_batches
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near duplicates.
 
@@ -34,6 +52,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return single.unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
+@bounded_batches
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold an item of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
@@ -41,6 +60,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return _without(docs, settle(leaks, "leaks"))
 
 
+@bounded_batches
 def mask_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data in texts by its kind; ``n_chars`` follows the new text."""
     masked = privacy.mask(privacy.find_private(docs))
@@ -50,6 +70,7 @@ def mask_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return masked.select(*_names(docs))
 
 
+@bounded_batches
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2,048 ids, with the ids."""
     return packing.pack(docs, VOCABULARY)
