@@ -9,7 +9,7 @@ from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.ranking import exact_quantiles
+from weftline.operators.quantiles import two_scan_quantiles
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -70,7 +70,7 @@ def approximate_quantiles(
 def summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per numeric column: n, mean, stddev, min, quartiles (exact, as data values), max.
 
-    The plain statistics of all columns come from one scan, the quartiles from another.
+    The plain statistics of all columns come from one scan, the quartiles from two others.
     """
     plain = {"n": F.count, "mean": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max}
     wide = df.agg(*[f(c).cast("double").alias(f"{c}__{s}") for c in columns for s, f in plain.items()])
@@ -79,9 +79,9 @@ def summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for c in columns
     ]
     stats = wide.select(F.inline(F.array(*rows))).withColumn("n", F.col("n").cast("long"))
-    values = df.select(*[F.col(c).cast("double") for c in columns])
-    values = values.unpivot([], list(columns), "column_name", "v")
-    quartiles = exact_quantiles(values, "v", QUARTILES, ["column_name"], interpolate=False)
+    quartiles = two_scan_quantiles(
+        df.select(*[F.col(c).cast("double").alias(c) for c in columns]), {c: QUARTILES for c in columns}, interpolate=False
+    )
     joined = stats.join(quartiles, "column_name")
     return joined.select("column_name", "n", "mean", "stddev", "min", *QUARTILES, "max")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.operators.ranking import exact_quantiles
+from weftline.operators.quantiles import quantiles
 
 
 def missing_flags(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -26,7 +26,7 @@ def impute_median(df: DataFrame, columns: Sequence[str], exact: bool = False) ->
             df
         ).transform(df)
     for c in columns:
-        median = exact_quantiles(df.select(c), c, {"m": 0.5}, interpolate=False).scalar()
+        median = quantiles(df.select(c), c, {"m": 0.5}, interpolate=False).scalar()
         df = df.withColumn(c, F.coalesce(F.col(c), median))
     return df
 

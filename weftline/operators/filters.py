@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.ranking import exact_quantiles
+from weftline.operators.quantiles import quantiles
 
 
 def not_equal_keep_null(column: Column, value) -> Column:
@@ -21,7 +21,7 @@ def below_fraction_of_max(df: DataFrame, column: str, fraction: float) -> DataFr
 
 def above_quantile(df: DataFrame, column: str, p: float) -> DataFrame:
     """Rows strictly above the interpolated quantile ``p`` of the column."""
-    bound = exact_quantiles(df.select(column), column, {"bound": p}).scalar()
+    bound = quantiles(df.select(column), column, {"bound": p}).scalar()
     return df.filter(F.col(column) > bound)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from weftline.functions.columns import hash_split, words
 from weftline.functions.udaf import Aggregator, aggregate
 from weftline.operators import aggregates as A
+from weftline.operators import quantiles as Q
 from weftline.operators import ranking as R
 from weftline.operators.sessions import sessions
 from weftline.plans.registry import query
@@ -217,7 +218,7 @@ def summary_stats(t):
 )
 def quantile_exact_rank(t):
     wanted = {"q25": 0.25, "q75": 0.75}
-    return R.exact_quantiles(t.orders, "o_totalprice", wanted, ["o_orderpriority"], interpolate=False)
+    return Q.quantiles(t.orders, "o_totalprice", wanted, ["o_orderpriority"], interpolate=False)
 
 
 @query(
@@ -247,7 +248,7 @@ def quantile_approx(t):
     FROM lineitem""",
 )
 def quantile_interp(t):
-    found = R.exact_quantiles(t.lineitem, "l_extendedprice", {"p75": 0.75, "p90": 0.9})
+    found = Q.quantiles(t.lineitem, "l_extendedprice", {"p75": 0.75, "p90": 0.9})
     return found.select(F.round("p75", 4).alias("p75"), F.round("p90", 4).alias("p90"))
 
 
