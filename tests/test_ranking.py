@@ -104,3 +104,22 @@ def test_sessions_equal_session_window(spark):
     plain = df.groupBy("k", F.session_window("ts", "10 seconds")).count()
     plain = plain.select("k", "session_window.start", "session_window.end", "count")
     assert rows(sessions(df, "k", "ts", 10)) == rows(plain)
+
+
+@pytest.mark.parametrize("chunk_cells", [1, 3, 50])
+def test_sessions_are_stitched_over_chunks(spark, chunk_cells):
+    """A key with a third of the rows over ten years, null keys, and sessions over many chunks."""
+    from pyspark.sql import functions as F
+
+    r = random.Random(6)
+    data = [("hot", r.randrange(10 * 365 * 24)) for _ in range(1000)]
+    data += [("long", h) for h in range(1000, 1400)] + [("long", 2000), ("long", 2002)]
+    data += [(r.choice([None, "a", "b"]), r.randrange(900)) for _ in range(300)]
+    df = spark.createDataFrame(data, "k STRING, h INT").selectExpr("k", "timestamp_seconds(h * 3600) AS ts", "h")
+    plain = df.groupBy("k", F.session_window("ts", "7201 seconds")).agg(F.count("*").alias("n"), F.sum("h").alias("s"))
+    # The built-in window is open at its end, so two hours are within 7201 seconds.
+    plain = plain.select("k", "session_window.start", "n", "s")
+    found = sessions(df, "k", "ts", 7200, [("s", F.col("h"))], chunk_cells)
+    assert rows(found, "k", "session_start", "n", "s") == rows(plain)
+    longest = found.filter("k = 'long'").agg(F.max("n")).first()[0]
+    assert longest == 400

@@ -17,7 +17,7 @@ from weftline.streaming.joins import stream_equi_join, stream_interval_join, wit
 from weftline.streaming.progress import dropped_rows, progress_table
 from weftline.streaming.run import finish, run, run_all, run_until, settings, start
 from weftline.streaming.sources import replay, replay_batches, table_stream, text_stream
-from weftline.streaming.windows import session_windowed, windowed
+from weftline.streaming.windows import LateCounter, session_windowed, windowed
 
 
 def at(text):
@@ -48,6 +48,27 @@ def test_late_rows_are_dropped_once_per_window(sensors, slide, dropped):
     assert dropped_rows(run(counts, "update").progress) == dropped
 
 
+@pytest.mark.parametrize("slide, dropped", [(None, 8), ("1 minute", 16)])
+def test_late_rows_are_counted_before_they_are_combined(spark, sensors, slide, dropped):
+    counter = LateCounter(spark, scratch(spark, "late"), "eventTime", "2 minutes", "2 minutes", slide)
+    finish(start(sensors.stream(), "append", "", scratch(spark, "checkpoint"), on_batch=counter.on_batch))
+    found = counter.report().orderBy("batch").collect()
+    assert [r.n for r in found] == [1] * 11 and sum(r.late for r in found) == dropped
+    assert found[0].watermark is None and found[-1].watermark == at("2022-01-02 10:00")
+
+
+def test_equal_late_rows_of_one_task_all_count(spark):
+    """Spark's own metric counts what it has combined; a repeated batch counts once."""
+    parts = [[(1, at("2022-01-02 10:00"))], [(1, at("2022-01-01 09:00"))] * 5 + [(1, at("2022-01-02 10:01")), (2, None)]]
+    frames = [spark.createDataFrame(p, SENSOR).coalesce(1) for p in parts]
+    counter = LateCounter(spark, scratch(spark, "late"), "eventTime", "2 minutes", "2 minutes")
+    for number, frame in [*enumerate(frames), (1, frames[1])]:
+        counter.on_batch(frame, number)
+    assert rows(counter.report().select("batch", "n", "late")) == [(0, 1, 0), (1, 7, 5)]
+    counts = windowed(replay_batches(frames).stream(), "eventTime", "2 minutes", ["device_id"], watermark="2 minutes")
+    assert dropped_rows(run(counts, "update").progress) < 5
+
+
 def test_complete_mode_keeps_late_rows(sensors):
     counts = windowed(sensors.stream(), "eventTime", "2 minutes", ["device_id"], watermark="2 minutes")
     result = run(counts, "complete")

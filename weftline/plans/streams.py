@@ -22,9 +22,10 @@ from weftline.streaming import codecs, dedup, sinks, state, timers
 from weftline.streaming.joins import stream_equi_join, stream_interval_join, with_table
 from weftline.streaming.progress import progress_table
 from weftline.streaming.run import finish, run, run_all, run_until, start
-from weftline.streaming.sources import replay, table_stream, text_stream
+from weftline.streaming.sources import replay, replay_batches, table_stream, text_stream
 from weftline.streaming.windows import (
     MERGE_SESSIONS_EARLY,
+    LateCounter,
     as_event_time,
     session_windowed,
     windowed,
@@ -59,7 +60,7 @@ def with_sentinel(df, time, **values):
 @query("stream_file_count", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def stream_file_count(t):
     counts = table_stream(t.spark, t.path("events"), max_files=1000).groupBy("event_type")
-    return run(counts.agg(F.count("*").alias("n")), "complete").rows()
+    return run(counts.agg(F.count("*").alias("n")), "update").latest(["event_type"])
 
 
 @query("stream_rate", "SELECT event_id, event_type FROM events")
@@ -89,7 +90,7 @@ def stream_word_count(t):
     t.documents.select("text").write.text(path)
     lines = text_stream(t.spark, path)
     counts = lines.select(F.explode(words(F.col("value"))).alias("word")).groupBy("word")
-    return run(counts.agg(F.count("*").alias("n")), "complete").rows()
+    return run(counts.agg(F.count("*").alias("n")), "update").latest(["word"])
 
 
 @query(
@@ -100,7 +101,7 @@ def stream_word_count(t):
 )
 def stream_number_count(t):
     documents = table_stream(t.spark, t.path("documents"))
-    return run(count_numbers(documents, "text"), "complete").rows()
+    return run(count_numbers(documents, "text"), "update").latest(["number"])
 
 
 @query("decode_json_value", "SELECT event_id, user_id, event_type, value FROM events")
@@ -232,8 +233,8 @@ def multi_query(t):
         grouped = event_stream(t).groupBy(F.col(column).cast("string").alias("name"))
         return grouped.agg(F.count("*").alias("n"))
 
-    results = run_all([("types", counts("event_type"), "complete"), ("users", counts("user_id"), "complete")])
-    tables = [r.rows().select(F.lit(name).alias("query"), "name", "n") for name, r in results.items()]
+    results = run_all([("types", counts("event_type"), "update"), ("users", counts("user_id"), "update")])
+    tables = [r.latest(["name"]).select(F.lit(name).alias("query"), "name", "n") for name, r in results.items()]
     return tables[0].unionByName(tables[1])
 
 
@@ -274,12 +275,12 @@ def stream_running_count(t):
 @query("stream_count_by_key", _BY_USER)
 def stream_count_by_key(t):
     stream = replay(timed_events(t), "ts").stream()
-    return run(stream.groupBy("user_id").agg(F.count("*").alias("n")), "complete").rows()
+    return run(stream.groupBy("user_id").agg(F.count("*").alias("n")), "update").latest(["user_id"])
 
 
 @query("stream_min_by_key", "SELECT user_id, min(value) AS smallest FROM events GROUP BY user_id")
 def stream_min_by_key(t):
-    return run(event_stream(t).groupBy("user_id").agg(F.min("value").alias("smallest")), "complete").rows()
+    return run(event_stream(t).groupBy("user_id").agg(F.min("value").alias("smallest")), "update").latest(["user_id"])
 
 
 @query(
@@ -288,7 +289,7 @@ def stream_min_by_key(t):
         user_id, count(*) AS n FROM events GROUP BY ALL""",
 )
 def stream_tumbling(t):
-    return run(windowed(event_stream(t), "ts", "5 minutes", ["user_id"]), "complete").rows()
+    return run(windowed(event_stream(t), "ts", "5 minutes", ["user_id"]), "update").latest(["window_start", "window_end", "user_id"])
 
 
 @query(
@@ -300,7 +301,8 @@ def stream_tumbling(t):
 )
 def stream_sliding(t):
     # The slide does not divide the size: a row lies in one or two windows.
-    return run(windowed(event_stream(t), "ts", "5 hours", ["event_type"], slide="3 hours"), "complete").rows()
+    counts = windowed(event_stream(t), "ts", "5 hours", ["event_type"], slide="3 hours")
+    return run(counts, "update").latest(["window_start", "window_end", "event_type"])
 
 
 @query(
@@ -344,15 +346,30 @@ def stream_parsed_window_sum(t):
     )
     parsed = parsed.filter(F.col("event_time").isNotNull() & F.col("reading").isNotNull())
     sums = windowed(parsed, "event_time", "1 hour", aggregates={"total": F.sum("reading")})
-    return run(sums, "complete").rows()
+    return run(sums, "update").latest(["window_start", "window_end"])
 
 
-@query("stream_late_drop")
+_LATE_CUTS = (0, 25, 50, 75)
+_LATE_BATCH = "CASE WHEN value >= 75 THEN 3 WHEN value >= 50 THEN 2 WHEN value >= 25 THEN 1 ELSE 0 END"
+
+
+@query(
+    "stream_late_drop",
+    f"""WITH e AS (SELECT {_LATE_BATCH} AS batch, ts, time_bucket(INTERVAL 2 HOURS, ts) + INTERVAL 2 HOURS AS closes FROM events),
+    seen AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        - INTERVAL 2 MINUTES AS watermark FROM e GROUP BY batch)
+    SELECT CAST(batch AS BIGINT) AS batch, count(*) AS n, count(*) FILTER (closes <= watermark) AS late, any_value(watermark) AS watermark
+    FROM e JOIN seen USING (batch) GROUP BY batch""",
+)
 def stream_late_drop(t):
-    """Events in order of value, so many come late; per batch what arrived and what was dropped."""
-    stream = replay(timed_events(t), "value").stream()
-    result = run(windowed(stream, "ts", "2 hours", ["event_type"], watermark="2 minutes"), "update")
-    return progress_table(t.spark, result.progress)
+    """Events in four given batches by value, so many come late: per batch how many, and behind which watermark."""
+    bands = zip(_LATE_CUTS, [*_LATE_CUTS[1:], None])
+    inside = [F.col("value") >= low if high is None else F.col("value") < high if not low else F.col("value").between(low, high) & (F.col("value") < high) for low, high in bands]
+    inside[0] = F.coalesce(inside[0], F.lit(True))
+    stream = replay_batches([timed_events(t).filter(band) for band in inside]).stream()
+    counter = LateCounter(t.spark, scratch(t.spark, "late"), "ts", "2 hours", "2 minutes")
+    finish(start(stream, "append", "", scratch(t.spark, "checkpoint"), on_batch=counter.on_batch))
+    return counter.report().withColumn("watermark", F.col("watermark").cast("timestamp_ntz"))
 
 
 # ---- deduplication ----
@@ -438,7 +455,7 @@ def stream_interval_left(t):
 )
 def stream_union(t):
     both = event_stream(t).union(event_stream(t).filter(F.col("value") > 50))
-    return run(both.groupBy("event_type").agg(F.count("*").alias("n")), "complete").rows()
+    return run(both.groupBy("event_type").agg(F.count("*").alias("n")), "update").latest(["event_type"])
 
 
 # ---- per-key state ----
@@ -457,19 +474,29 @@ def user_actions(df):
     FROM events GROUP BY user_id""",
 )
 def state_user_status(t):
-    stream = replay(user_actions(timed_events(t)), "ts").stream()
+    stream = user_actions(event_stream(t))
     return run(state.last_status(stream, "user_id", "action", "event_id"), "update").latest(["user_id"])
 
 
-@query("state_event_timeout", "SELECT DISTINCT user_id, false AS active FROM events")
+@query(
+    "state_event_timeout",
+    """WITH e AS (SELECT * FROM events WHERE event_type IN ('click', 'error'))
+    SELECT user_id, arg_max(event_type, ts) = 'click'
+        AND max(ts) + INTERVAL 1 DAY >= (SELECT max(ts) - INTERVAL 10 MINUTE FROM e) AS active
+    FROM e GROUP BY user_id""",
+)
 def state_event_timeout(t):
-    """With a final row far in the future every user has fallen silent."""
-    actions = with_sentinel(user_actions(timed_events(t)), "ts")
+    """Users whose last change is a click are active, unless it lies a day behind the watermark at the end.
+
+    Only changes are looked at, so it makes no difference which silences within the input are noticed.
+    """
+    changes = user_actions(timed_events(t)).filter(F.col("action").isin("move", "idle"))
+    changes = changes.withColumn("place", F.unix_micros("ts"))
     status = state.track_status(
-        replay(actions, "ts").stream(), "user_id", "action", "event_id",
-        time="ts", watermark="10 minutes", event_timeout_ms=3_600_000,
+        replay(changes, "ts").stream(), "user_id", "action", "place",
+        time="ts", watermark="10 minutes", event_timeout_ms=24 * 3_600_000,
     )
-    return run(status, "update").latest(["user_id"]).filter(F.col("user_id").isNotNull())
+    return run(status, "update").latest(["user_id"])
 
 
 @query(
