@@ -162,3 +162,30 @@ def test_opaque_filter_and_numpy_model(spark):
     assert filter_opaque(df, ["id", "x"], lambda i, x: i + x > 20).count() == 3
     scored = score_linear(df, ["id", "x"], [1.0, 0.5], 3.0, "y")
     assert rows(scored, "y") == sorted([(2.0 * i + 3,) for i in range(10)], key=repr)
+
+
+@pytest.mark.parametrize("kind, params", [("tree", {}), ("forest", {"numTrees": 7, "maxDepth": 6}), ("boosted", {"maxIter": 6, "maxDepth": 4})])
+def test_exported_trees_predict_as_the_library(spark, kind, params):
+    """Continuous and categorical splits, nulls, extra columns, and rows of no category seen in training."""
+    from pyspark.sql import functions as F
+
+    from weftline.operators.foreign import Trees, export_trees, score_trees
+    from weftline.operators.models import tree_pipeline
+    from weftline.session import scratch
+
+    df = spark.range(600).selectExpr(
+        "id", "concat('c', id * 7 % 23) AS kind", "cast(id * 37 % 101 AS double) AS size", "cast(sin(id) * 10 + id * 7 % 23 * (id % 3) AS double) AS y"
+    )
+    *prepared, model = tree_pipeline(df, ["kind"], ["size"], "y", kind, **params).fit(df).stages
+    saved, file = scratch(spark, "trees"), scratch(spark, "arrays")
+    model.write().save(saved)
+    export_trees(spark, saved, file)
+    trees = Trees(bytes(spark.read.parquet(file).first().model))
+    assert trees.categorical.any() and (~trees.categorical & (trees.feature >= 0)).any()
+    for stage in prepared:
+        df = stage.transform(df)
+    known = model.transform(df).select("id", "kind_index", "size", F.col("prediction").alias("known")).repartition(3)
+    scored = score_trees(known, file, ["kind_index", "size"]).collect()
+    assert len(scored) == 600 and all(abs(r.prediction - r.known) < 1e-9 for r in scored)
+    missing = known.limit(2).withColumn("size", F.lit(None).cast("double"))
+    assert [r.prediction for r in score_trees(missing, file, ["kind_index", "size"]).collect()] == [None, None]

@@ -11,6 +11,7 @@ from weftline.functions.columns import hash_split
 from weftline.functions.partitions import score_linear
 from weftline.operators import features as P
 from weftline.operators import models as M
+from weftline.operators.foreign import export_trees, score_trees
 from weftline.plans.registry import query
 from weftline.session import reuse, scratch
 from weftline.streaming.run import run
@@ -317,3 +318,21 @@ def ml_map_in_pandas_score(t):
     inputs = t.part.select("p_partkey", F.col("p_size").cast("double").alias("p_size"), "p_retailprice")
     scored = score_linear(inputs, ["p_size", "p_retailprice"], [0.5, 0.25], 3.0, "prediction")
     return scored.select("p_partkey", F.round("prediction", 6).alias("prediction"))
+
+
+@query("ml_foreign_trees", "SELECT p_partkey, true AS equal FROM part")
+def ml_foreign_trees(t):
+    """Boosted trees as plain arrays, scored without MLlib: whether each prediction equals the library's own."""
+    train, _ = _log_parts(t)
+    pipeline = M.tree_pipeline(train, TEXT, NUMERIC, "log_price", "boosted", maxIter=5, maxDepth=5)
+    *prepared, model = pipeline.fit(train).stages
+    saved, file = scratch(t.spark, "boosted"), scratch(t.spark, "arrays")
+    model.write().save(saved)
+    export_trees(t.spark, saved, file)
+    rows = parts(t)
+    for stage in prepared:
+        rows = stage.transform(rows)
+    inputs = [*[f"{c}_index" for c in TEXT], *NUMERIC]
+    theirs = model.transform(rows).select(*dict.fromkeys(["p_partkey", *inputs]), F.col("prediction").alias("known"))
+    scored = score_trees(theirs, file, inputs)
+    return scored.select("p_partkey", (F.abs(F.col("prediction") - F.col("known")) < 1e-9).alias("equal"))
