@@ -7,6 +7,7 @@ import time
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftline.functions.columns import words
 from weftline.operators.joins import interval_join
@@ -375,6 +376,46 @@ def test_silent_users_time_out_in_processing_time(spark):
         query.stop()
 
 
+# ---- hot keys ----
+
+
+def test_frequent_keys_are_not_missed(spark):
+    """Whatever the batches, a key above the share is found, counts are bounded, and a repeated batch counts once."""
+    from weftline.streaming.hot import FrequentKeys
+
+    r = random.Random(8)
+    keys = FrequentKeys(spark, scratch(spark, "keys"), T.LongType(), 0.2)
+    seen = []
+    for number in range(5):
+        batch = [r.choice([1, 1, 2, None, *range(100, 160)]) if number else r.randrange(1000) for _ in range(300)] + [1] * 60 * number
+        df = spark.createDataFrame([(k,) for k in batch], "k LONG")
+        for _ in range(2 if number == 3 else 1):
+            keys.add(df, "k", number)
+        seen += batch
+        counts, lost, total = keys._at(number)
+        true = {k: seen.count(k) for k in set(seen) - {None}}
+        assert total == len(seen) and len(counts) <= 20 and lost <= len(seen) / 20 * 2
+        assert all(true[k] - lost <= n <= true[k] for k, n in counts.items())
+        assert {k for k, n in true.items() if n > 0.2 * len(seen)} <= set(keys.hot(number))
+    assert 1 in keys.hot(4)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_keys_of_a_stream_are_spread_as_they_come(spark, how, monkeypatch):
+    """A key with a third of the rows; nothing is known before, and no key is joined in one task."""
+    from weftline.streaming import hot
+
+    named = []
+    monkeypatch.setattr(hot, "with_table", lambda *a: named.append(a[5]) or with_table(*a))
+    data = [(i, 7 if i % 3 == 0 else i % 50, "x") for i in range(300)] + [(300, None, "y"), (301, 999, "z")]
+    parts = [spark.createDataFrame(data[i::2], "id LONG, ad LONG, a STRING") for i in range(2)]
+    table = spark.createDataFrame([(k, f"v{k}") for k in range(50)], "key LONG, v STRING")
+    found = hot.join_as_it_comes(replay_batches(parts).stream(), table, "ad", "key", ["id"], ["id", "v"], how, 0.1)
+    plain = spark.createDataFrame(data, "id LONG, ad LONG, a STRING").join(table, F.col("ad") == F.col("key"), how)
+    assert rows(found.versions().select("id", "v")) == rows(plain.select("id", "v"))
+    assert named[0] == () and named[1:] == [[7], [7]]
+
+
 # ---- timers ----
 
 

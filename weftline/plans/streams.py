@@ -19,7 +19,8 @@ from weftline.plans.shaping import BEYOND_EDGES, DELAY_EDGES, count_numbers, sen
 from weftline.schemas import EVENT_PAYLOAD
 from weftline.session import scratch
 from weftline.streaming import codecs, dedup, sinks, state, timers
-from weftline.streaming.joins import stream_equi_join, stream_interval_join, with_table
+from weftline.streaming.hot import join_as_it_comes
+from weftline.streaming.joins import stream_equi_join, stream_interval_join
 from weftline.streaming.progress import progress_table
 from weftline.streaming.run import finish, run, run_all, run_until, start
 from weftline.streaming.sources import replay, replay_batches, table_stream, text_stream
@@ -393,14 +394,18 @@ def stream_dedup_wm(t):
 # ---- joins ----
 
 
+def _with_customers(t, customers, how):
+    orders, columns = table_stream(t.spark, t.path("orders")), ["o_orderkey", "o_custkey", "c_name"]
+    joined = join_as_it_comes(orders, customers, "o_custkey", "c_custkey", ["o_orderkey"], columns, how)
+    return joined.versions().select(*columns)
+
+
 @query(
     "stream_static_join",
     "SELECT o_orderkey, o_custkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey",
 )
 def stream_static_join(t):
-    orders, hot = table_stream(t.spark, t.path("orders")), hot_keys(t.orders, "o_custkey", 0.01)
-    joined = with_table(orders, t.customer, "o_custkey", "c_custkey", ["o_orderkey"], hot)
-    return run(joined.select("o_orderkey", "o_custkey", "c_name")).rows()
+    return _with_customers(t, t.customer, "inner")
 
 
 @query(
@@ -409,9 +414,7 @@ def stream_static_join(t):
     LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') ON o_custkey = c_custkey""",
 )
 def stream_static_left(t):
-    orders, hot = table_stream(t.spark, t.path("orders")), hot_keys(t.orders, "o_custkey", 0.01)
-    joined = with_table(orders, building(t), "o_custkey", "c_custkey", ["o_orderkey"], hot, "left")
-    return run(joined.select("o_orderkey", "o_custkey", "c_name")).rows()
+    return _with_customers(t, building(t), "left")
 
 
 @query(
