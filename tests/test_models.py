@@ -137,6 +137,15 @@ def test_user_aggregate(spark, fan_in):
     assert rows(found) == rows(plain)
 
 
+def test_user_aggregate_of_many_keys_and_a_hot_one(spark):
+    """Tasks that hold few buffers send them on early; a hot key then has hundreds of them."""
+    df = spark.range(20_000).selectExpr("if(id % 3 = 0, -1, id % 4000) AS k", "cast(id AS double) AS v").repartition(5)
+    found = aggregate(df, ["k"], ["v"], spread(), "spread", 4, most_keys=50)
+    plain = df.groupBy("k").agg((F.max("v") - F.min("v")).alias("spread"))
+    assert rows(found) == rows(plain)
+    assert aggregate(df.limit(0), ["k"], ["v"], spread(), "spread").count() == 0
+
+
 def test_user_aggregate_with_null_keys(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 4.0), ("a", 2.0)], "k STRING, v DOUBLE")
     assert rows(aggregate(df, ["k"], ["v"], spread(), "spread")) == [("a", 0.0), (None, 3.0)]
