@@ -461,3 +461,14 @@ def test_training_order_of_odd_rows(spark):
     assert {r.doc_id for r in got} == {1, 2, None, 5, 6, 7, 8, 9}
     assert len(got) == len({r.slot for r in got}) and sum(r.doc_id == 2 for r in got) == 1
     assert order.materialise(no_docs(spark), PATH, 3).count() == 0
+
+
+def test_planted_secrets_are_found_by_their_contexts(spark):
+    """Recall and precision of the added spans on the given table, where no seed of a base kind follows ``token =``."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    found = privacy.find_private(docs).collect()
+    planted = {(r.doc_id, m.start(1), m.end(1)) for r in found for m in re.finditer(r'token = "([0-9a-f]{40})"', r.text or "")}
+    added = {(r.doc_id, s.start, s.end) for r in found for s in r.spans if s.kind == privacy.KINDS.index("id")}
+    assert len(planted) >= 10
+    assert len(planted & added) >= 0.9 * len(planted)
+    assert len(added - planted) <= 0.05 * len(added)

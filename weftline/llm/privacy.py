@@ -23,11 +23,14 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 _TOKEN = re.compile(r"\S+")
 _EDGES = "\"'`.,;:!?()[]{}<>"
+# Key material: long runs of letters and digits of many kinds. Numbers and dotted quads are judged by their own kinds.
+_KEY = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+_JUDGED = re.compile(r"[0-9-]{14,}|[0-9]+(?:\.[0-9]+){3}")
 # The words before an identifier that make its context: this far back, in characters.
 _BEFORE = 48
 
 _SPAN = "struct<start:long,kind:int,end:long>"
-_CUE = "struct<start:long,end:long,instance:long,patterns:array<long>>"
+_CUE = "struct<start:long,end:long,instance:long,patterns:array<long>,seed:boolean>"
 
 
 def _luhn(digits: str) -> bool:
@@ -67,11 +70,17 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _is_key(string: str) -> bool:
+    digits = sum(c.isdigit() for c in string)
+    return bool(_KEY.fullmatch(string)) and digits >= 4 and len(string) - digits >= 4 and len(set(string)) >= 10
+
+
 def _contexts(text: str, spans: list[tuple[int, int, int]]):
-    """Identifier-shaped strings with the lexical patterns before them: (start, end, instance, patterns).
+    """Identifier-shaped strings with the lexical patterns before them: (start, end, instance, patterns, seed).
 
     Such a string is a base span, or a run without white space that holds two digits and six characters
-    after a ``name=`` prefix and outer punctuation are taken off. Its patterns are the word before it,
+    after a ``name=`` prefix and outer punctuation are taken off; numbers of 14 digits or more and dotted quads that
+    are no base spans have failed the check of their kind and are none. Base spans and key material are seeds. Its patterns are the word before it,
     and the two words before it, in lower case; a ``name=`` prefix counts as the word before it.
     """
     items = [(a, b) for a, _, b in spans]
@@ -87,16 +96,20 @@ def _contexts(text: str, spans: list[tuple[int, int, int]]):
         token, start = m.group(), m.start()
         cut = max(token.find("="), token.find(":")) + 1
         start, token = start + cut, token[cut:]
+        close = token.find(token[0], 1) if token[:1] in ('"', "'") else -1
+        if close > 0:  # what is quoted, without what is glued to the quotes
+            token = token[: close + 1]
         inner = token.strip(_EDGES)
         start += len(token) - len(token.lstrip(_EDGES))
-        if 6 <= len(inner) <= 64 and sum(c.isdigit() for c in inner) >= 2:
+        if len(inner) >= 6 and sum(c.isdigit() for c in inner) >= 2 and not _JUDGED.fullmatch(inner):
             items.append((start, start + len(inner)))
-    for start, end in items:
+    for place, (start, end) in enumerate(items):
         words = text[max(0, start - _BEFORE) : start].lower().rstrip(_EDGES + " \t\r\n=").split()
         sign = "=" if "=" in text[max(0, start - 3) : start] else ""
         patterns = [" ".join(words[-n:]) + sign for n in (1, 2) if len(words) >= n]
         code = xxhash.xxh3_64_intdigest(text[start:end].encode()) >> 1
-        yield start, end, code, [xxhash.xxh3_64_intdigest(p.encode()) >> 1 for p in patterns]
+        seed = place < len(spans) or _is_key(text[start:end])
+        yield start, end, code, [xxhash.xxh3_64_intdigest(p.encode()) >> 1 for p in patterns], seed
 
 
 def _scan(docs: DataFrame, text_col: str) -> DataFrame:
@@ -115,10 +128,13 @@ def _scan(docs: DataFrame, text_col: str) -> DataFrame:
                     found = base_spans(text)
                     spans.append([{"start": a, "kind": k, "end": b} for a, k, b in found])
                     near = _contexts(text, found) if _DIGIT.search(text) or found else ()
-                    cues.append([{"start": a, "end": b, "instance": c, "patterns": p} for a, b, c, p in near])
+                    cues.append([{"start": a, "end": b, "instance": c, "patterns": p, "seed": s} for a, b, c, p, s in near])
                 span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
                 cue = pa.struct(
-                    [("start", pa.int64()), ("end", pa.int64()), ("instance", pa.int64()), ("patterns", pa.list_(pa.int64()))]
+                    [
+                        *(("start", pa.int64()), ("end", pa.int64()), ("instance", pa.int64())),
+                        *(("patterns", pa.list_(pa.int64())), ("seed", pa.bool_())),
+                    ]
                 )
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(spans, pa.list_(span)), pa.array(cues, pa.list_(cue))],
@@ -138,8 +154,9 @@ def find_private(
 ) -> DataFrame:
     """``docs`` with ``base`` and ``spans``: arrays of (start, kind, end) in code points, by start.
 
-    ``base`` holds what the fixed patterns find. These strings are the seeds of a graph between strings
-    and the words before them. In each round a pattern's confidence is the mean score of the distinct
+    ``base`` holds what the fixed patterns find. These strings, and key material (20 letters and digits or more, of
+    ten kinds), are the seeds of a graph between strings and the words before them. Key material is found only
+    where a strong pattern introduces it. In each round a pattern's confidence is the mean score of the distinct
     strings it introduces (one more than there are in the denominator), and a string's score is that of
     its best pattern with enough support, 1 for seeds; here only seeds are support. Patterns that end at
     ``least_confidence`` with ``least_support`` distinct seeds are strong, and the strings that they introduce
@@ -155,8 +172,8 @@ def find_private(
     docs = docs.drop("base", "spans")
     rows = settle(_scan(docs, text_col).withColumn("row__", F.monotonically_increasing_id()), "scanned")
     cues = rows.select("row__", "base__", F.explode("cues__").alias("c"))
-    seeded = F.exists("base__", lambda s: s["start"] == F.col("c.start"))
-    cues = cues.select("row__", "c.*", seeded.alias("seed"))
+    based = F.exists("base__", lambda s: s["start"] == F.col("c.start"))
+    cues = cues.select("row__", "c.*", based.alias("based"))
     edges = cues.select("instance", "seed", F.explode("patterns").alias("pattern"))
     edges = settle(edges.groupBy("pattern", "instance").agg(F.max("seed").cast("double").alias("seed")), "edges")
     score = edges.groupBy("instance").agg(F.max("seed").alias("score"))
@@ -181,7 +198,7 @@ def find_private(
         more = settle(more.select("pattern", "confidence").join(strong, "pattern", "left_anti"), "more")
         strong = settle(strong.unionByName(more), "strong")
     strong = strong.select("pattern")
-    new = cues.filter("not seed").select("row__", "start", "end", F.explode("patterns").alias("pattern"))
+    new = cues.filter("not based").select("row__", "start", "end", F.explode("patterns").alias("pattern"))
     new = new.join(strong, "pattern").select("row__", "start", "end").distinct()
     kind = KINDS.index("id")
     added = new.groupBy("row__").agg(F.collect_list(F.struct("start", F.lit(kind).alias("kind"), "end")).alias("added__"))
