@@ -120,8 +120,8 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
 
 # DuckDB has no CRC-32, so it is spelled out; prefixes are lists of turns, and subtrees are told by their beginning.
 _CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''),
-    x -> ascii(x)::BIGINT)), (s, x) -> list_reduce(list_prepend(xor(s, x), range(8)),
-    (v, i) -> CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END)), 4294967295::BIGINT)"""
+    lambda x: ascii(x)::BIGINT)), lambda s, x: list_reduce(list_prepend(xor(s, x), range(8)),
+    lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END)), 4294967295::BIGINT)"""
 OP11_SQL = f"""WITH turns AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
         sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS code
         FROM conversations WHERE conv_id IS NOT NULL),
