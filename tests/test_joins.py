@@ -125,6 +125,15 @@ def test_interval_join_equals_brute_force(spark, seconds):
     assert sorted((tuple(t) for t in outer.collect()), key=repr) == sorted(expected, key=repr)
 
 
+def test_broadcast_is_bounded_by_bytes(spark):
+    wide = spark.range(20).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1000).alias("text"), F.array("id").alias("ids"))
+    size = wide.agg(F.sum(joins.row_bytes(wide))).first()[0]
+    assert 20 * 1024 <= size <= 20 * 1100
+    assert joins.fits(wide, max_bytes=size) and not joins.fits(wide, max_bytes=size - 1)
+    assert joins.fits(wide.limit(0)) and not joins.fits(wide, max_rows=19)
+    assert joins.fits(wide.select(F.lit(None).cast("string").alias("n")))
+
+
 def test_full_join_of_a_hot_key_is_split(spark):
     """AQE splits the hot partition of the left join that a full join is built from."""
     hot = spark.range(0, 60_000, 1, 8).select(

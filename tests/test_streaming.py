@@ -17,7 +17,7 @@ from weftline.streaming import codecs, dedup, sinks, state, timers
 from weftline.streaming.joins import stream_equi_join, stream_interval_join, with_table
 from weftline.streaming.progress import dropped_rows, progress_table
 from weftline.streaming.run import finish, run, run_all, run_until, settings, start
-from weftline.streaming.sources import replay, replay_batches, table_stream, text_stream
+from weftline.streaming.sources import replay, replay_batches, replay_together, table_stream, text_stream
 from weftline.streaming.windows import LateCounter, session_windowed, windowed
 
 
@@ -143,6 +143,27 @@ def test_replay_grows_its_slices_with_the_table(spark):
     assert replay(spark.range(100), "id", slices=1, rows_per_slice=20).slices == 5
 
 
+def test_replay_together_cuts_both_sides_at_the_same_values(spark):
+    """The second table has no rows in some spans: its micro-batches there are empty, not later ones."""
+    wide = spark.range(90).select(F.col("id").alias("a"))
+    gap = spark.range(90).filter("id < 5 or id >= 85").select(F.col("id").alias("b"), F.lit("x").alias("more"))
+    left, right = replay_together([(wide, "a"), (gap, "b")], slices=4, rows_per_file=5)
+    assert left.slices == right.slices and left.files_per_slice > 1
+    both = left.stream().select(F.lit("a").alias("side"), F.col("a").alias("v"))
+    both = both.unionByName(right.stream().select(F.lit("b").alias("side"), F.col("b").alias("v")))
+    seen = run(both.groupBy("side", "v").count(), "update").versions().toPandas()
+    assert len(seen) == 100 and set(seen["count"]) == {1}
+    spans = seen.groupby("batch").v.agg(["min", "max"])
+    assert len(spans) == 4 and (spans["min"].iloc[1:].values > spans["max"].iloc[:-1].values).all()
+
+
+def test_replay_of_nothing(spark):
+    empty = spark.range(0)
+    assert run(replay(empty, "id").stream()).rows().count() == 0
+    left, right = replay_together([(spark.range(3), "id"), (empty, "id")])
+    assert run(right.stream()).rows().count() == 0 and run(left.stream()).rows().count() == 3
+
+
 def test_table_stream_reads_a_file_or_a_folder(spark):
     path = scratch(spark, "table.parquet")
     spark.range(10).repartition(3).write.parquet(path)

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 2**20
 CELL_STEP = 32
 
 
@@ -21,11 +24,41 @@ def has_at_most(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: lengths of text and binary, JSON of nested values, else 8 each."""
+    sizes = [F.lit(8 * len(df.columns))]
+    for f in df.schema:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(f.name), F.lit(0)))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(f.name))), F.lit(0)))
+    return reduce(Column.__add__, sizes)
+
+
+def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` stays within both bounds.
+
+    Only the size of at most ``max_rows`` + 1 rows is summed, so a table beyond the bounds is not
+    read to its end, and one row comes to the driver.
+    """
+    some = df.select(row_bytes(df).cast("long").alias("bytes")).limit(max_rows + 1)
+    found = some.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).first()
+    return found["n"] <= max_rows and (found["bytes"] or 0) <= max_bytes
+
+
 def broadcast_join(
-    left: DataFrame, right: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    on,
+    how: str = "inner",
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join with ``right`` broadcast if it is proven small, else as Catalyst and AQE decide."""
-    if has_at_most(right, max_rows):
+    """Join with ``right`` broadcast if it is proven small in rows and bytes, else as Catalyst and AQE decide.
+
+    A side that is costly to compute should be written first (``settle``), as the proof computes it too.
+    """
+    if fits(right, max_rows, max_bytes):
         right = F.broadcast(right)
     return left.join(right, on, how)
 

@@ -86,6 +86,22 @@ def ml_impute_median_approx(t):
 _TYPE_INDEX = "(SELECT p_type, row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS i FROM part GROUP BY p_type)"
 
 
+@query(
+    "ml_split_by_type",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{kind}' AS kind, count({c}) AS n, count(DISTINCT {c}) AS n_values FROM part"
+        for c, kind in [("p_name", "text"), ("p_brand", "text"), ("p_type", "text"), ("p_size", "numeric"), ("p_retailprice", "numeric")]
+    ),
+)
+def ml_split_by_type(t):
+    """Columns by the kind of preparation they need, with what decides on it: values and different ones."""
+    text, numeric = P.split_by_type(t.part, leave_out=["p_partkey"])
+    kinds = {**{c: "text" for c in text}, **{c: "numeric" for c in numeric}}
+    found = t.part.agg(*[F.struct(F.count(c).alias("n"), F.count_distinct(c).alias("n_values")).alias(c) for c in kinds])
+    each = [F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("kind"), f"{c}.n", f"{c}.n_values") for c, k in kinds.items()]
+    return found.select(F.explode(F.array(*each)).alias("x")).select("x.*")
+
+
 @query(
     "ml_string_index",
     f"SELECT p_partkey, CAST(i AS DOUBLE) AS p_type_index FROM part JOIN {_TYPE_INDEX} USING (p_type)",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,8 +12,9 @@ from weftline.functions.columns import words
 from weftline.operators.sets import union_all
 from weftline.plans.registry import query
 from weftline.schemas import Customer, Order, schema_of
-from weftline.session import scratch
+from weftline.session import reuse, scratch, settle
 from weftline.sources import readers, writers
+from weftline.streaming.run import settings
 
 
 def _name(prefix: str) -> str:
@@ -202,6 +204,28 @@ def catalog_columns(t):
     return listing.join(filled, "column_name").select("position", "column_name", "data_type", "n_values")
 
 
+@query(
+    "catalog_tables",
+    """SELECT 'default' AS database_name, 'supplier' AS of, false AS is_temporary, 4 AS n_columns, count(*) AS n_rows FROM supplier
+    UNION ALL SELECT NULL, 'nation', true, 2, count(*) FROM nation""",
+)
+def catalog_tables(t):
+    """Databases and their tables as the catalog lists them: a stored table and a view, with their rows."""
+    mark = uuid.uuid4().hex[:8]
+    suppliers = t.supplier.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    writers.write_table(suppliers, f"listed_{mark}_supplier", scratch(t.spark, "table"))
+    t.nation.select("n_nationkey", "n_name").createOrReplaceTempView(f"listed_{mark}_nation")
+    databases = readers.database_listing(t.spark).select("database_name")
+    tables = readers.table_listing(t.spark, "default", f"listed_{mark}_*")
+    known = tables.join(databases, "database_name", "left_semi").unionByName(tables.filter("database_name IS NULL"))
+    sizes = [
+        t.spark.table(f"listed_{mark}_{x}").agg(F.count("*").alias("n_rows")).select(F.lit(x).alias("of"), "n_rows")
+        for x in ("supplier", "nation")
+    ]
+    named = known.withColumn("of", F.element_at(F.split("table_name", "_"), -1))
+    return named.join(union_all(sizes), "of").select("database_name", "of", "is_temporary", "n_columns", "n_rows")
+
+
 @query("snk_parquet", "SELECT * FROM orders")
 def snk_parquet(t):
     path = writers.write_parquet(t.orders, scratch(t.spark, "parquet"), mode="overwrite")
@@ -263,3 +287,46 @@ def snk_parallel(t):
     }
     written = writers.write_many(frames)
     return union_all([t.spark.read.parquet(path) for path in written])
+
+
+@query("snk_files", "SELECT CAST(4 AS BIGINT) AS n_files, count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS keys FROM orders")
+def snk_files(t):
+    """The number of files is what the writer was asked for."""
+    path = writers.write_parquet(t.orders, scratch(t.spark, "files"), files=4)
+    written = t.spark.read.parquet(path).withColumn("file", F.col("_metadata.file_name"))
+    return written.agg(F.count_distinct("file").alias("n_files"), F.count("*").alias("n"), F.sum("o_custkey").alias("keys"))
+
+
+_KEPT = """SELECT o_orderpriority AS name, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders
+    WHERE o_totalprice > 100000 GROUP BY ALL UNION ALL SELECT o_orderstatus, count(*), round(sum(o_totalprice), 2) FROM orders
+    WHERE o_totalprice > 100000 GROUP BY ALL"""
+
+
+def _kept(t, level):
+    """Two reports over rows that are filtered once and kept at the given level until both are written."""
+    with reuse(t.orders.filter(F.col("o_totalprice") > 100_000), level) as rows:
+        reports = [
+            rows.groupBy(F.col(c).alias("name")).agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+            for c in ("o_orderpriority", "o_orderstatus")
+        ]
+        return settle(union_all(reports), "kept")
+
+
+@query("job_cache", _KEPT)
+def job_cache(t):
+    return _kept(t, StorageLevel.MEMORY_AND_DISK)
+
+
+@query("job_persist_disk", _KEPT)
+def job_persist_disk(t):
+    return _kept(t, StorageLevel.DISK_ONLY)
+
+
+@query("job_shuffle_partitions", "SELECT CAST(5 AS BIGINT) AS n_partitions, count(DISTINCT o_custkey) AS n_keys, count(*) AS n FROM orders")
+def job_shuffle_partitions(t):
+    """A shuffle has as many partitions as the session says at the time it runs, if AQE does not merge them."""
+    wanted = {"spark.sql.shuffle.partitions": "5", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    with settings(t.spark, wanted):
+        counts = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"))
+        counts = settle(counts.withColumn("place", F.spark_partition_id()), "counts")
+    return counts.agg(F.count_distinct("place").alias("n_partitions"), F.count("*").alias("n_keys"), F.sum("n").alias("n"))

@@ -23,7 +23,7 @@ from weftline.streaming.hot import join_as_it_comes
 from weftline.streaming.joins import stream_equi_join, stream_interval_join
 from weftline.streaming.progress import progress_table
 from weftline.streaming.run import finish, run, run_all, run_until, start
-from weftline.streaming.sources import replay, replay_batches, table_stream, text_stream
+from weftline.streaming.sources import replay, replay_batches, replay_together, table_stream, text_stream
 from weftline.streaming.windows import (
     MERGE_SESSIONS_EARLY,
     LateCounter,
@@ -173,6 +173,25 @@ def foreach_batch_writer(t):
     return t.spark.read.parquet(path).drop("batch")
 
 
+@query(
+    "stream_triggers",
+    """SELECT trigger, event_type, count(*) AS n FROM events
+    CROSS JOIN (VALUES ('available now'), ('processing time')) v(trigger) GROUP BY ALL""",
+)
+def stream_triggers(t):
+    """The same counts by a run over what is there, and by one that wakes at an interval until all rows are in."""
+    rows, seen = t.events.count(), {}
+
+    def all_in(report) -> bool:
+        seen[report["batchId"]] = report["numInputRows"]
+        return sum(seen.values()) >= rows
+
+    counts = event_stream(t).groupBy("event_type").agg(F.count("*").alias("n"))
+    results = {"available now": run(counts, "update"), "processing time": run_until(counts, all_in, every="1 second")}
+    tables = [r.latest(["event_type"]).select(F.lit(k).alias("trigger"), "event_type", "n") for k, r in results.items()]
+    return tables[0].unionByName(tables[1])
+
+
 _BY_USER = "SELECT user_id, count(*) AS n FROM events GROUP BY user_id"
 
 
@@ -354,6 +373,14 @@ _LATE_CUTS = (0, 25, 50, 75)
 _LATE_BATCH = "CASE WHEN value >= 75 THEN 3 WHEN value >= 50 THEN 2 WHEN value >= 25 THEN 1 ELSE 0 END"
 
 
+def _late_bands(t):
+    """Events in four bands of their value, which has nothing to do with their time."""
+    events, value = timed_events(t), F.coalesce(F.col("value"), F.lit(float("-inf")))
+    uppers = [*_LATE_CUTS[1:], float("inf")]
+    lowers = [float("-inf"), *_LATE_CUTS[1:]]
+    return [events.filter((value >= low) & ((value < high) | F.lit(high == float("inf")))) for low, high in zip(lowers, uppers, strict=True)]
+
+
 @query(
     "stream_late_drop",
     f"""WITH e AS (SELECT {_LATE_BATCH} AS batch, ts, time_bucket(INTERVAL 2 HOURS, ts) + INTERVAL 2 HOURS AS closes FROM events),
@@ -364,15 +391,31 @@ _LATE_BATCH = "CASE WHEN value >= 75 THEN 3 WHEN value >= 50 THEN 2 WHEN value >
 )
 def stream_late_drop(t):
     """Events in four given batches by value, so many come late: per batch how many, and behind which watermark."""
-    bands = zip(_LATE_CUTS, [*_LATE_CUTS[1:], None])
-    inside = [F.col("value") >= low if high is None else F.col("value") < high if not low else F.col("value").between(low, high) & (F.col("value") < high) for low, high in bands]
-    inside[0] = F.coalesce(inside[0], F.lit(True))
-    stream = replay_batches([timed_events(t).filter(band) for band in inside]).stream()
+    stream = replay_batches(_late_bands(t)).stream()
     counter = LateCounter(t.spark, scratch(t.spark, "late"), "ts", "2 hours", "2 minutes")
     finish(start(stream, "append", "", scratch(t.spark, "checkpoint"), on_batch=counter.on_batch))
     return counter.report().withColumn("watermark", F.col("watermark").cast("timestamp_ntz"))
 
 
+_WINDOW_COUNTS = """SELECT time_bucket(INTERVAL 2 HOURS, ts) AS window_start, time_bucket(INTERVAL 2 HOURS, ts) + INTERVAL 2 HOURS AS window_end,
+    count(*) AS n FROM events GROUP BY ALL"""
+
+
+@query("stream_late_complete", _WINDOW_COUNTS)
+def stream_late_complete(t):
+    """Complete mode lets no window go, so rows far behind the watermark still count."""
+    counts = windowed(replay_batches(_late_bands(t)).stream(), "ts", "2 hours", watermark="2 minutes")
+    return run(counts, "complete").rows()
+
+
+@query("stream_within_delay", _WINDOW_COUNTS)
+def stream_within_delay(t):
+    """The watermark's guarantee: rows out of order, but by less than the delay, are all counted."""
+    span = timed_events(t).agg((F.unix_timestamp(F.max("ts")) - F.unix_timestamp(F.min("ts"))).alias("s")).first()["s"] or 0
+    counts = windowed(replay_batches(_late_bands(t)).stream(), "ts", "2 hours", watermark=f"{span + 1} seconds")
+    return run(counts, "update").latest(["window_start", "window_end"])
+
+
 # ---- deduplication ----
 
 
@@ -431,9 +474,9 @@ def stream_stream_equi(t):
 
 def _interval(t, how):
     views, clicks = views_and_clicks(t)
+    sides = [(with_sentinel(views, "view_time", viewer=-1), "view_time"), (with_sentinel(clicks, "click_time", clicker=-2), "click_time")]
     joined = stream_interval_join(
-        replay(with_sentinel(views, "view_time", viewer=-1), "view_time").stream(),
-        replay(with_sentinel(clicks, "click_time", clicker=-2), "click_time").stream(),
+        *[side.stream() for side in replay_together(sides)],
         "viewer", "clicker", "view_time", "click_time",
         seconds=INTERVAL_SECONDS, watermark="10 minutes", how=how,
     )

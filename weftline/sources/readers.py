@@ -77,3 +77,23 @@ def column_listing(spark: SparkSession, view: str) -> DataFrame:
         (i, c.name, c.dataType) for i, c in enumerate(spark.catalog.listColumns(view))
     ]
     return spark.createDataFrame(rows, "position int, column_name string, data_type string")
+
+
+def database_listing(spark: SparkSession) -> DataFrame:
+    """The databases of the current catalog."""
+    rows = [(d.name, d.catalog) for d in spark.catalog.listDatabases()]
+    return spark.createDataFrame(rows, "database_name string, catalog string")
+
+
+def table_listing(spark: SparkSession, database: str | None = None, pattern: str | None = None) -> DataFrame:
+    """Tables and temporary views, with their database (NULL for temporary views) and width.
+
+    ``pattern`` is one of the catalog, where * stands for any characters.
+    """
+    rows = []
+    for x in spark.catalog.listTables(database, pattern):
+        place = x.namespace[-1] if x.namespace else None
+        name = x.name if x.isTemporary or place is None else f"{place}.{x.name}"
+        rows.append((place, x.name, x.tableType, x.isTemporary, len(spark.catalog.listColumns(name))))
+    names = "database_name string, table_name string, kind string, is_temporary boolean, n_columns int"
+    return spark.createDataFrame(rows, names)
