@@ -367,6 +367,31 @@ def test_more_languages_than_at_once(spark, monkeypatch):
         assert (one.lang_pred, one.lang_rate) == (r.lang_pred, r.lang_rate) and one.lang_score == pytest.approx(r.lang_score)
 
 
+def _phrases(text, known):
+    at, n = 0, 0
+    while at < len(text):
+        end = at + 1
+        while end < len(text) and text[at : end + 1] in known:
+            end += 1
+        at, n = end, n + 1
+    return n
+
+
+def test_large_alphabets_take_little_memory():
+    """Thousands of signs in one language cost the others nothing, and every language's phrases stay exact."""
+    rng = np.random.default_rng(5)
+    signs = {"zh": [chr(0x4E00 + i) for i in range(3000)], "ja": [chr(0x6000 + i) for i in range(2500)], "en": list("abcdefghij")}
+    texts = {k: "".join(rng.choice(v, 6000)) for k, v in signs.items()}
+    parser = language.Parser(texts)
+    held = sum(v.nbytes for v in parser.arrays().values() if isinstance(v, np.ndarray)) - parser.codes.nbytes
+    assert held < 3 * 6000 * 40
+    probes = [texts["zh"][100:160] + texts["ja"][5:9], texts["en"][7:70] + "z", "".join(rng.choice(signs["ja"], 50)), "字"]
+    again = language.Parser.of(parser.arrays())
+    found = again.phrases([again.encode(p) for p in probes])
+    for probe, row in zip(probes, found, strict=True):
+        assert row.tolist() == [_phrases(probe, texts[k]) for k in again.languages]
+
+
 def test_phrases_are_the_longest_that_occur():
     text = language.letters("the cat sat on the mat and the dog ran after the cat")
     parser = language.Parser({"en": text})

@@ -14,7 +14,7 @@ from weftline.session import settle
 # Labelled text that an automaton is built from, per language: at most this many documents, each with
 # this many characters from a place that its id picks, and this many characters in all.
 SAMPLE_DOCS, SAMPLE_PART, SAMPLE_CHARS = 400, 400, 60_000
-# Languages that are sampled, or parsed with, at once: each costs about 12 MB in a task. More take more passes.
+# Languages that are sampled, or parsed with, at once: each costs at most 4 MB in a task. More take more passes.
 LANGUAGES_AT_ONCE = 64
 # Characters that are parsed without a break; a phrase ends there for every language alike.
 STRETCH = 1024
@@ -49,80 +49,140 @@ def letters(text: str) -> str:
     return " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
 
 
-class Automaton:
-    """The suffix automaton of a text as a table: state and character class to the next state.
+def automaton(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """The suffix automaton of a text of character classes: its moves as (from, class, to), and how many states it has.
 
-    A missing move goes to the state that the character reaches from the start, with a mark that a
-    phrase ended. Class 0 is any character that no text has.
+    A text of n characters gives fewer than 2 n states and 3 n moves, whatever its alphabet.
     """
-
-    def __init__(self, text: str, classes: dict[str, int]):
-        moves: list[dict[int, int]] = [{}]
-        link, length, last = [-1], [0], 0
-        for code in (classes[c] for c in text):
-            new = len(moves)
-            moves.append({})
-            length.append(length[last] + 1)
-            link.append(0)
-            p = last
-            while p >= 0 and code not in moves[p]:
-                moves[p][code] = new
-                p = link[p]
-            if p >= 0:
-                q = moves[p][code]
-                if length[p] + 1 == length[q]:
-                    link[new] = q
-                else:
-                    twin = len(moves)
-                    moves.append(dict(moves[q]))
-                    length.append(length[p] + 1)
-                    link.append(link[q])
-                    while p >= 0 and moves[p].get(code) == q:
-                        moves[p][code] = twin
-                        p = link[p]
-                    link[q] = link[new] = twin
-            last = new
-        width = max(classes.values()) + 1
-        # One state more, for a character that the text lacks: it is a phrase of its own.
-        table = np.full((len(moves) + 1, width), len(moves), dtype=np.int32)
-        there = np.zeros(table.shape, dtype=bool)
-        for state, out in enumerate(moves):
-            for code, to in out.items():
-                table[state, code], there[state, code] = to, True
-        table = np.where(there, table, table[0])
-        self.width = width
-        # The lowest bit tells that a phrase ended before this character.
-        self.table = (table * 2 + ~there).ravel()
+    moves: list[dict[int, int]] = [{}]
+    link, length, last = [-1], [0], 0
+    for code in codes.tolist():
+        new = len(moves)
+        moves.append({})
+        length.append(length[last] + 1)
+        link.append(0)
+        p = last
+        while p >= 0 and code not in moves[p]:
+            moves[p][code] = new
+            p = link[p]
+        if p >= 0:
+            q = moves[p][code]
+            if length[p] + 1 == length[q]:
+                link[new] = q
+            else:
+                twin = len(moves)
+                moves.append(dict(moves[q]))
+                length.append(length[p] + 1)
+                link.append(link[q])
+                while p >= 0 and moves[p].get(code) == q:
+                    moves[p][code] = twin
+                    p = link[p]
+                link[q] = link[new] = twin
+        last = new
+    many = np.fromiter((len(m) for m in moves), np.int64, len(moves))
+    total = int(many.sum())
+    by = np.fromiter((c for m in moves for c in m), np.int64, total)
+    to = np.fromiter((t for m in moves for t in m.values()), np.int64, total)
+    return np.repeat(np.arange(len(moves)), many), by, to, len(moves)
+
+
+def overlaid(source: np.ndarray, by: np.ndarray, to: np.ndarray, states: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sparse rows laid over each other in one array: the offset of each state, and cells of (state, goal).
+
+    The move of a state by a class is the cell at offset + class, if that cell names the state. States of several moves
+    are placed first, where all their cells are free; those of one move fill the gaps, so few cells stay empty.
+    """
+    order = np.argsort(source, kind="stable")
+    source, by, to = source[order], by[order], to[order]
+    many = np.bincount(source, minlength=states)
+    first = np.cumsum(many) - many
+    several = np.flatnonzero(many > 1)
+    offsets = np.zeros(states, dtype=np.int32)
+    used, low, all_by = bytearray(2 * width), width, by.tolist()
+    for state in several[np.argsort(-many[several], kind="stable")].tolist():
+        classes = all_by[first[state] : first[state] + many[state]]
+        at, tries, lead = low, 0, classes[0]
+        while True:
+            at = used.find(0, at)
+            if at < 0 or at + width >= len(used):
+                used.extend(bytes(len(used)))
+                at = max(at, low)
+                continue
+            if not any(used[at - lead + c] for c in classes):
+                break
+            at, tries = at + 1, tries + 1
+        for c in classes:
+            used[at - lead + c] = 1
+        offsets[state] = at - lead
+        if tries > 16:
+            low = at
+    single = np.flatnonzero(many == 1)
+    gaps = np.flatnonzero(np.frombuffer(used, np.uint8)[width:] == 0)[: len(single)] + width
+    gaps = np.concatenate([gaps, len(used) + np.arange(len(single) - len(gaps))])
+    offsets[single] = gaps - np.array(all_by, dtype=np.int64)[first[single]]
+    cells = np.full((int(offsets.max(initial=0)) + width, 2), -1, dtype=np.int32)
+    places = offsets[source] + by
+    cells[places, 0], cells[places, 1] = to, source
+    return offsets, cells.view(np.int64).ravel()
 
 
 class Parser:
-    """Automata of all languages and the phrases per character that each needs for a text."""
+    """Automata of all languages and the phrases per character that each needs for a text.
+
+    The moves of all languages lie in one array (``overlaid``) of eight bytes a move and four a state: at most 2 MB
+    for a language of ``SAMPLE_CHARS``, however many signs it has. A move that is missing goes to the state that
+    the character reaches from the start, and a phrase ends. Class 0 is any letter that no text has.
+    """
 
     def __init__(self, texts: dict[str, str]):
         texts = {k: letters(v) for k, v in texts.items()}
         texts = {k: v for k, v in texts.items() if v.strip()}
         signs = sorted(set("".join(texts.values())) | {" "})
-        self.classes = {c: i + 1 for i, c in enumerate(signs)}
-        self.languages = sorted(texts)
-        self.automata = [Automaton(texts[k], self.classes) for k in self.languages]
-        self.codes = np.zeros(0x110000, dtype=np.uint8 if len(signs) < 254 else np.uint16)
-        blank = self.classes[" "]
-        self.codes[:] = blank
-        known = np.array([chr(c).isalpha() for c in range(0x110000)])
-        self.codes[known] = 0
-        for c, i in self.classes.items():
+        classes = {c: i + 1 for i, c in enumerate(signs)}
+        self.languages, self.blank, self.width = sorted(texts), classes[" "], len(signs) + 1
+        self.codes = np.full(0x110000, self.blank, dtype=np.uint8 if len(signs) < 254 else np.uint16 if len(signs) < 65534 else np.uint32)
+        self.codes[np.array([chr(c).isalpha() for c in range(0x110000)])] = 0
+        for c, i in classes.items():
             self.codes[ord(c)] = i
             if len(c.upper()) == 1 and c.upper().lower() == c:
                 self.codes[ord(c.upper())] = i
+        moves, states = [(np.empty(0, np.int64),) * 3], 0
+        # Per language the move of each class from the start; without one, a state of its own that has no moves.
+        self.starts = np.zeros(len(texts), dtype=np.int32)
+        self.roots = np.zeros((len(texts), self.width), dtype=np.int32)
+        for k, name in enumerate(self.languages):
+            source, by, to, n = automaton(np.array([classes[c] for c in texts[name]]))
+            moves.append((source + states, by, to + states))
+            self.starts[k] = states
+            self.roots[k] = states + n
+            self.roots[k, by[source == 0]] = to[source == 0] + states
+            states += n + 1
+        self.offsets, self.cells = overlaid(*(np.concatenate(x) for x in zip(*moves, strict=True)), states, self.width)
+
+    def arrays(self) -> dict:
+        """All that makes up the parser, in plain values that can be broadcast."""
+        return dict(self.__dict__)
+
+    @classmethod
+    def of(cls, arrays: dict) -> Parser:
+        made = cls.__new__(cls)
+        made.__dict__.update(arrays)
+        return made
+
+    def moved(self, states: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next state of each language (row) and place (column), and whether the move was there."""
+        cells = self.cells[self.offsets[states] + codes]
+        there = cells >> 32 == states
+        return np.where(there, cells & 0xFFFFFFFF, self.roots[:, codes]), there
 
     def encode(self, text: str) -> np.ndarray:
         raw = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         codes = self.codes[raw]
-        blank = codes == self.classes[" "]
+        blank = codes == self.blank
         keep = ~blank
         keep[1:] |= ~blank[:-1]
         codes = codes[keep]
-        return codes[1:] if len(codes) and codes[0] == self.classes[" "] else codes
+        return codes[1:] if len(codes) and codes[0] == self.blank else codes
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases that each language needs for each text, in numpy over all stretches at once."""
@@ -135,26 +195,24 @@ class Parser:
         order = np.argsort(-sizes, kind="stable")
         doc, starts, sizes = doc[order], starts[order], sizes[order]
         flat = np.concatenate(texts) if texts else np.empty(0, np.uint8)
-        counts = np.ones((len(self.automata), len(doc)), dtype=np.int64)
-        states = [np.zeros(len(doc), dtype=np.int64) for _ in self.automata]
+        counts = np.ones((len(self.languages), len(doc)), dtype=np.int64)
+        states = np.repeat(self.starts[:, None], len(doc), axis=1)
         active = np.searchsorted(-sizes, -np.arange(STRETCH), side="left")
         for j in range(int(sizes[0]) if len(sizes) else 0):
             n = active[j]
             codes = flat[starts[:n] + j]
-            for k, a in enumerate(self.automata):
-                step = a.table[states[k][:n] * a.width + codes]
-                states[k][:n] = step >> 1
-                if j:
-                    counts[k, :n] += step & 1
-        out = np.zeros((len(texts), len(self.automata)), dtype=np.int64)
-        for k in range(len(self.automata)):
+            states[:, :n], there = self.moved(states[:, :n], codes)
+            if j:
+                counts[:, :n] += ~there
+        out = np.zeros((len(texts), len(self.languages)), dtype=np.int64)
+        for k in range(len(self.languages)):
             out[:, k] = np.bincount(doc, weights=counts[k], minlength=len(texts)).astype(np.int64)
         return out
 
     def best(self, texts: list[str]) -> list[tuple[str, float, float]]:
         """(language, phrases per letter, those of the next language or infinity) of each text."""
         codes = [self.encode(t) for t in texts]
-        letters_ = np.array([int((c != self.classes[" "]).sum()) for c in codes], dtype=np.int64)
+        letters_ = np.array([int((c != self.blank).sum()) for c in codes], dtype=np.int64)
         if not self.languages:
             return [(UNKNOWN, 0.0, np.inf)] * len(texts)
         needed = self.phrases(codes) / np.maximum(letters_, 1)[:, None]
@@ -202,10 +260,11 @@ def _pass(docs: DataFrame, texts: dict[str, str], text_col: str, again: bool) ->
     plain = docs.drop(*_NEW)
     at = plain.columns.index(text_col)
     wide = len(plain.columns)
-    given = docs.sparkSession.sparkContext.broadcast(texts)
+    # Built once, here; a task only loads the arrays.
+    given = docs.sparkSession.sparkContext.broadcast(Parser(texts).arrays())
 
     def work(batches):
-        parser = Parser(given.value)
+        parser = Parser.of(given.value)
         for batch in batches:
             first = held = 0
             rows: list[str] = []
