@@ -337,6 +337,31 @@ def test_fingerprints_within_the_radius_are_all_found():
     assert set(zip(window.tolist(), item.tolist(), strict=True)) == set(zip(*map(np.ndarray.tolist, np.nonzero(apart <= decontaminate.RADIUS)), strict=True))
 
 
+def test_both_ways_through_the_blocks_find_all_within_the_radius():
+    """More items of one size than a block has near values: the index goes through these, with the same pairs."""
+    rng = np.random.default_rng(8)
+    items = [(i, " ".join(f"w{x}" for x in rng.integers(0, 400, 24)).encode()) for i in range(1500)]
+    index = decontaminate.Index.of(decontaminate.Index(items).arrays())
+    (size, rows), = index.rows.items()
+    assert size in index.tables
+    bits = np.unpackbits(index.prints[rng.integers(0, 1500, 400)].view(np.uint8), axis=1)
+    for k, row in enumerate(bits):
+        row[rng.choice(256, k % 90, replace=False)] ^= 1
+    prints = np.packbits(bits, axis=1).view(np.uint16)
+    apart = np.bitwise_count(prints[:, None] ^ index.prints).sum(axis=2)
+    want = {(int(w), int(i)) for w, i in zip(*np.nonzero(apart <= decontaminate.RADIUS), strict=True)}
+    got = {(int(w), int(i)) for w, i in zip(*index.candidates(size, prints), strict=True)}
+    index.tables.clear()
+    plain = {(int(w), int(i)) for w, i in zip(*index.candidates(size, prints), strict=True)}
+    assert got == plain == want and len(want) >= 250
+
+
+def test_index_grows_with_the_items_shingles_alone():
+    items = [(i, " ".join(f"w{(i * 31 + k) % 5000}" for k in range(30)).encode()) for i in range(6000)]
+    held = sum(v.nbytes for v in decontaminate.Index(items).arrays().values() if isinstance(v, np.ndarray))
+    assert held < 6000 * 1000
+
+
 def test_language_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = queries.op7_language_id(spark, "/root/testdata/sf0.01").filter("held_out").join(docs.select("doc_id", "lang"), "doc_id")

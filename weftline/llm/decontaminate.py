@@ -16,8 +16,10 @@ PERCENT = 80
 # Fingerprints: bits, blocks of the index, and the radius. Two sets (of numbered shingles) at 80 % similarity differ
 # in about 15 % of the bits on average; the radius is four standard deviations above that.
 BITS, BLOCKS, RADIUS = 256, 16, 62
-# Items that are searched in one pass over the documents; further items take further passes.
-ITEMS_AT_ONCE = 20_000
+# Items, and bytes of their texts, that are searched in one pass over the documents; more take further passes.
+ITEMS_AT_ONCE, ITEM_BYTES_AT_ONCE = 20_000, 32 * 2**20
+# Pairs of a window and an item or a flip that are looked at at once.
+PAIRS_AT_ONCE = 1 << 18
 # Windows that are fingerprinted at once.
 WINDOWS_AT_ONCE = 2048
 
@@ -71,42 +73,58 @@ def _packed(sums: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Items by their shingles and, per window size, by every block within its share of the radius.
+    """Items by their shingles and, per window size, by the blocks of their fingerprints.
 
     If two fingerprints differ in at most ``RADIUS`` bits, some block differs in at most
-    ``RADIUS // BLOCKS`` bits, so looking up all those blocks misses none.
+    ``RADIUS // BLOCKS`` bits, so finding all items with such a block misses none. An item costs its
+    shingles and about 130 bytes, and a size of more than 697 items (as many as there are near values of a block) 4 MB.
     """
 
     def __init__(self, items: list[tuple[int, bytes]]):
         near = RADIUS // BLOCKS
-        flips = [sum(1 << b for b in c) for r in range(near + 1) for c in combinations(range(16), r)]
-        self.flips = np.array(flips, dtype=np.uint16)
-        self.ids, self.counts, prints, sizes, every = [], [], [], [], []
+        self.flips = np.array([sum(1 << b for b in c) for r in range(near + 1) for c in combinations(range(16), r)], dtype=np.uint16)
+        ids, sizes, prints, every, many = [], [], [], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for item, text in items:
             data, _ = joined(_lowered([text]))
             found = chain(words(data)[2], WORDS)
             if len(found) == 0:
                 continue
-            values, many = np.unique(found, return_counts=True)
-            self.ids.append(item)
-            self.counts.append((values, many))
+            values, counts = np.unique(found, return_counts=True)
+            ids.append(item)
             sizes.append(len(found))
             prints.append(_packed(_window_sums(found, np.zeros(1, np.int64), len(found)))[0])
             every.append(values)
-        self.sizes = np.array(sizes, dtype=np.int64)
+            many.append(counts)
+        self.ids = np.array(ids, dtype=np.int64)
         self.prints = np.array(prints, dtype=np.uint16).reshape(-1, BLOCKS)
-        self.shingles = np.unique(np.concatenate(every)) if every else np.empty(0, np.uint64)
-        # Per size: for each block, sorted values with the items that lie near them.
+        # The weighted shingles of item i lie from bounds[i] to bounds[i + 1].
+        self.bounds = np.cumsum([len(v) for v in every])
+        self.values, self.many = np.concatenate(every), np.concatenate(many).astype(np.int32)
+        self.shingles = np.unique(self.values)
+        self.sizes = np.array(sizes, dtype=np.int64)
+        self.rows = {int(size): np.flatnonzero(self.sizes == size) for size in np.unique(self.sizes)}
+        # Per block of a size of many items: the items in the order of their values, and where each value starts.
         self.tables = {}
-        for size in np.unique(self.sizes):
-            rows = np.flatnonzero(self.sizes == size)
-            blocks = []
-            for b in range(BLOCKS):
-                values = (self.prints[rows, b][:, None] ^ self.flips).ravel()
-                owner = np.repeat(rows, len(flips))
-                order = np.argsort(values, kind="stable")
-                blocks.append((values[order], owner[order]))
-            self.tables[int(size)] = blocks
+        for size, rows in self.rows.items():
+            if len(rows) > len(self.flips):
+                blocks = self.prints[rows]
+                order = np.argsort(blocks, axis=0, kind="stable").astype(np.int32)
+                first = [np.concatenate([[0], np.cumsum(np.bincount(b, minlength=1 << 16))]).astype(np.int32) for b in blocks.T]
+                self.tables[size] = (order, np.array(first))
+
+    def arrays(self) -> dict:
+        """All that makes up the index, in plain values that can be broadcast."""
+        return dict(self.__dict__)
+
+    @classmethod
+    def of(cls, arrays: dict) -> Index:
+        made = cls.__new__(cls)
+        made.__dict__.update(arrays)
+        return made
+
+    def weights(self, item: int) -> tuple[np.ndarray, np.ndarray]:
+        part = slice(self.bounds[item], self.bounds[item + 1])
+        return self.values[part], self.many[part]
 
     def known(self, shingles: np.ndarray) -> np.ndarray:
         if not len(self.shingles):
@@ -115,19 +133,44 @@ class Index:
         return self.shingles[at] == shingles
 
     def candidates(self, size: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, item) pairs of this size within the radius."""
+        """(window, item) pairs of this size within the radius, by window.
+
+        The blocks near a window's are found by going through the items' blocks or, if these are more, through
+        all near values.
+        """
+        rows = self.rows[size]
+        at_once = max(1, PAIRS_AT_ONCE // min(len(rows), len(self.flips)))
+        found = []
+        for k in range(0, len(prints), at_once):
+            some = prints[k : k + at_once]
+            window, at = self._near_values(size, some) if size in self.tables else self._near_items(rows, some)
+            found.append((window + k, rows[at]))
+        window, item = (np.concatenate(x) for x in zip(*found, strict=True))
+        return window, item
+
+    def _near_items(self, rows: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        apart = np.bitwise_count(prints[:, None] ^ self.prints[rows])
+        near = (apart <= RADIUS // BLOCKS).any(axis=2)
+        window, at = np.nonzero(near)
+        inside = apart[window, at].sum(axis=1) <= RADIUS
+        return window[inside], at[inside]
+
+    def _near_values(self, size: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order, first = self.tables[size]
         pairs = []
-        for b, (values, owner) in enumerate(self.tables[size]):
-            lo = np.searchsorted(values, prints[:, b], "left")
-            many = np.searchsorted(values, prints[:, b], "right") - lo
-            window = np.repeat(np.arange(len(prints)), many)
-            within = np.arange(len(window)) - np.repeat(np.cumsum(many) - many, many)
-            pairs.append(window * len(self.ids) + owner[np.repeat(lo, many) + within])
+        for b in range(BLOCKS):
+            near = (prints[:, b][:, None] ^ self.flips).ravel().astype(np.int64)
+            lo = first[b][near]
+            many = first[b][near + 1] - lo
+            hit = np.flatnonzero(many)
+            lo, many = lo[hit], many[hit]
+            within = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+            at = order[np.repeat(lo, many) + within, b]
+            pairs.append(np.repeat(hit // len(self.flips), many) * len(order) + at)
         both = np.unique(np.concatenate(pairs))
-        window, item = both // len(self.ids), both % len(self.ids)
-        apart = np.bitwise_count(prints[window] ^ self.prints[item]).sum(axis=1)
-        near = apart <= RADIUS
-        return window[near], item[near]
+        window, at = both // len(order), both % len(order)
+        inside = np.bitwise_count(prints[window] ^ self.prints[self.rows[size][at]]).sum(axis=1) <= RADIUS
+        return window[inside], at[inside]
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[int, int]:
@@ -154,7 +197,7 @@ def _search(shingles: np.ndarray, index: Index) -> list[tuple[int, int, int, int
     if not known.any():
         return []
     best: dict[int, tuple] = {}
-    for size in index.tables:
+    for size in index.rows:
         starts = _windows(known, size)
         width = min(size, len(shingles))
         for k in range(0, len(starts), WINDOWS_AT_ONCE):
@@ -166,7 +209,7 @@ def _search(shingles: np.ndarray, index: Index) -> list[tuple[int, int, int, int
             window, item = index.candidates(size, _packed(np.concatenate(sums)))
             for w, i in zip(window.tolist(), item.tolist(), strict=True):
                 start = int(some[w])
-                both, either = similarity(np.unique(shingles[start : start + width], return_counts=True), index.counts[i])
+                both, either = similarity(np.unique(shingles[start : start + width], return_counts=True), index.weights(i))
                 if 100 * both >= PERCENT * either:
                     old = best.get(i)
                     if old is None or both * old[3] > old[2] * either:
@@ -188,24 +231,23 @@ def find_leaks(
     Windows have an item's size and slide word by word; a shorter text is one window. Windows whose
     fingerprint lies within ``RADIUS`` of an item's are verified: the similarity of the sets of word
     five-shingles in lower case, weighted by how often each occurs, reaches 0.8. The first of equally good windows
-    counts. Documents are read once per ``ITEMS_AT_ONCE`` items, so a large benchmark takes more passes
-    and not more memory.
+    counts. Documents are read once per ``ITEMS_AT_ONCE`` items or ``ITEM_BYTES_AT_ONCE`` of text, and the index of
+    such a part is built once and broadcast, so a large benchmark takes more passes and not more memory.
 
     Items and documents of fewer than five words, and null texts, match nothing. Repeated rows give
     repeated results; repeated item ids keep the better one. Other columns are ignored.
     """
     items = benchmark.select(F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("text"))
     items = items.filter("text is not null and item is not null").distinct()
-    total = items.count()
-    passes = max(1, -(-total // ITEMS_AT_ONCE))
+    total, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    passes = max(1, -(-total // ITEMS_AT_ONCE), -(-size // ITEM_BYTES_AT_ONCE))
     given_code = (F.lit("") if code is None else code).alias("code")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), given_code)
     found = None
     for k in range(passes):
         part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == k) if passes > 1 else items
-        given = docs.sparkSession.sparkContext.broadcast(
-            sorted((r["item"], r["text"].encode("utf-8")) for r in part.collect())
-        )
+        index = Index(sorted((r["item"], r["text"].encode("utf-8")) for r in part.collect()))
+        given = docs.sparkSession.sparkContext.broadcast(index.arrays())
         leaks = rows.mapInArrow(_searcher(given), _FOUND)
         found = leaks if found is None else found.unionByName(leaks)
     order = F.struct(F.col("similarity"), -F.col("start_word"))
@@ -223,7 +265,7 @@ def _searcher(given):
     def work(batches):
         from pyspark import TaskContext
 
-        index, row, part = Index(given.value), 0, TaskContext.get().partitionId()
+        index, row, part = Index.of(given.value), 0, TaskContext.get().partitionId()
         for batch, texts in slices(batches, "text"):
             data, bounds = joined(_lowered(texts))
             starts, _, hashes = words(data)
@@ -236,7 +278,7 @@ def _searcher(given):
                 a, b = first[i], max(first[i], first[i + 1] - WORDS + 1)
                 if b > a and hits[b] > hits[a]:
                     for item, start, width, both, either in _search(flat[a:b], index):
-                        out.append((doc, index.ids[item], start, width + WORDS - 1, both / either, row + i, part, codes[i].as_py()))
+                        out.append((doc, int(index.ids[item]), start, width + WORDS - 1, both / either, row + i, part, codes[i].as_py()))
             row += len(texts)
             kinds = [pa.int64()] * 4 + [pa.float64(), pa.int32(), pa.int32(), pa.string()]
             cols = list(zip(*out, strict=True)) or [()] * 8
