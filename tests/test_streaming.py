@@ -3,6 +3,7 @@
 import datetime
 import random
 import time
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows
@@ -16,7 +17,7 @@ from weftline.session import scratch
 from weftline.streaming import codecs, dedup, sinks, state, timers
 from weftline.streaming.joins import stream_equi_join, stream_interval_join, with_table
 from weftline.streaming.progress import dropped_rows, progress_table
-from weftline.streaming.run import finish, run, run_all, run_until, settings, start
+from weftline.streaming.run import finish, run, run_all, run_until, settings, start, state_partitions
 from weftline.streaming.sources import replay, replay_batches, replay_together, table_stream, text_stream
 from weftline.streaming.windows import LateCounter, session_windowed, windowed
 
@@ -553,3 +554,11 @@ def test_progress_as_a_table(spark, sensors):
     table = progress_table(spark, run(counts, "update").progress)
     totals = table.agg(F.sum("input_rows"), F.sum("rows_dropped_by_watermark")).first()
     assert tuple(totals) == (11, 8)
+
+
+@pytest.mark.parametrize("wanted", ["12", "200", "16384"])
+def test_state_metrics_sent_to_the_driver_are_bounded(wanted):
+    """Every state task of a batch sends about 175 bytes per partition and store, and a join of streams has four stores."""
+    cluster = SimpleNamespace(sparkContext=SimpleNamespace(master="spark://host:7077"), conf={"spark.sql.shuffle.partitions": wanted})
+    number = int(state_partitions(cluster)["spark.sql.shuffle.partitions"])
+    assert number >= 32 and 175 * number**2 * 4 <= 20e6

@@ -16,8 +16,9 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from weftline.session import scratch
 
 MODES = ("append", "update", "complete")
-# State partitions of a new stateful query on a cluster.
-STATE_PARTITIONS = 2048
+# State partitions of a new stateful query on a cluster. Spark keeps one metric per partition and state store, and every
+# task of a micro-batch sends all of them to the driver, so what a batch sends grows with the square of this number.
+STATE_PARTITIONS = 128
 
 
 @dataclass
@@ -75,13 +76,13 @@ def state_partitions(spark: SparkSession) -> dict[str, str]:
     """The setting for a new stateful query: on a local master, no more state partitions than cores.
 
     Each costs a commit per micro-batch. The count is fixed by the first start of a checkpoint, so on a
-    cluster it does not follow the cores at that time: it is ``STATE_PARTITIONS``, or the session's
-    number if that is larger. Give ``conf`` to ``start`` or ``run`` for another number.
+    cluster it does not follow the cores at that time, nor the session's number, which is meant for batch
+    shuffles: it is ``STATE_PARTITIONS``. Give ``conf`` to ``start`` or ``run`` for another number.
     """
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if spark.sparkContext.master.startswith("local["):
         return {"spark.sql.shuffle.partitions": str(min(wanted, max(2, spark.sparkContext.defaultParallelism)))}
-    return {"spark.sql.shuffle.partitions": str(max(wanted, STATE_PARTITIONS))}
+    return {"spark.sql.shuffle.partitions": str(STATE_PARTITIONS)}
 
 
 class ProgressLog(StreamingQueryListener):
