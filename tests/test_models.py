@@ -97,6 +97,50 @@ def test_grid_search(spark, listings, whole):
     assert [r["params"] for r in table] == ["maxDepth=4", "maxDepth=1"]
 
 
+@pytest.fixture(scope="module")
+def sizes(spark):
+    r = random.Random(7)
+    data = [(r.choice("abc"), r.randrange(9), r.randrange(5), r.uniform(0, 9)) for _ in range(1500)]
+    return spark.createDataFrame([(k, a, b, y + a * b + 9 * (k == "b")) for k, a, b, y in data], "kind STRING, a INT, b INT, y DOUBLE").cache()
+
+
+def test_search_of_boosted_trees_fits_each_depth_once_on_bins(spark, sizes, monkeypatch):
+    """Errors are those of plain fits on all rows; points that differ in iterations alone share a fit per fold."""
+    fits, plain = [], M.GBTRegressor.fit
+    monkeypatch.setattr(M.GBTRegressor, "fit", lambda self, df, *a: fits.append(df.count()) or plain(self, df, *a))
+    pipeline = M.tree_pipeline(sizes, ["kind"], ["a", "b"], "y", "boosted", stepSize=0.5)
+    grid = {"maxDepth": [3], "maxIter": [1, 4]}
+    model = M.cross_validate(pipeline, sizes, "y", grid, folds=2)
+    assert len(fits) == 3 and max(fits) <= 3 * 9 * 5
+    for point, found in zip(model.getEstimatorParamMaps(), model.avgMetrics, strict=True):
+        folds = model_folds(pipeline, sizes, point)
+        assert found == pytest.approx(sum(folds) / 2, rel=1e-6)
+    best = dict(zip(map(str, model.getEstimatorParamMaps()), model.avgMetrics))
+    assert len(best) == 2 and model.bestModel.transform(sizes).count() == 1500
+
+
+def model_folds(pipeline, df, point):
+    draw = df.withColumn("draw", F.rand(42))
+    for fold in (draw.draw < 0.5, draw.draw >= 0.5):
+        model = pipeline.fit(draw.filter(~fold), point)
+        yield M.evaluate(model.transform(draw.filter(fold)), "y", "rmse")
+
+
+def test_search_prepares_each_fold_once(spark, listings, monkeypatch):
+    fits, plain = [], P.StringIndexer.fit
+    monkeypatch.setattr(P.StringIndexer, "fit", lambda self, df, *a: fits.append(1) or plain(self, df, *a))
+    pipeline = M.tree_pipeline(listings, ["kind"], ["beds"], "price", "forest")
+    model = M.cross_validate(pipeline, listings, "price", {"maxDepth": [1, 4], "numTrees": [2, 3]}, folds=2)
+    assert len(fits) == 3 and len(model.avgMetrics) == 4
+
+
+def test_search_still_refuses_a_missing_label(spark, listings):
+    gap = listings.union(listings.limit(1).select("kind", "beds", F.lit(None).cast("double")))
+    pipeline = M.tree_pipeline(gap, ["kind"], ["beds"], "price", "boosted", maxIter=1)
+    with pytest.raises(Exception, match="(?i)null|label"):
+        M.cross_validate(pipeline, gap, "price", {"maxDepth": [1]}, folds=2)
+
+
 def test_saved_model_scores_the_same(spark, listings):
     model = M.linear_pipeline(["kind"], ["beds"], "price").fit(listings)
     path = scratch(spark, "model")

@@ -13,7 +13,7 @@ from weftline.operators import features as P
 from weftline.operators import models as M
 from weftline.operators.foreign import export_trees, score_trees
 from weftline.plans.registry import query
-from weftline.session import reuse, scratch
+from weftline.session import reuse, scratch, spread
 from weftline.streaming.run import run
 from weftline.streaming.sources import table_stream
 
@@ -28,6 +28,11 @@ def split_parts(t):
     return hash_split(parts(t), "p_partkey", 80)
 
 
+def spread_parts(t):
+    """The same split, dealt over all cores: a search reads its rows many times, and they come from a small file."""
+    return hash_split(spread(parts(t)), "p_partkey", 80)
+
+
 _SPLIT = "CAST('0x' || substr(md5(CAST(p_partkey AS VARCHAR)), 1, 8) AS BIGINT) % 100"
 
 # ---- preparation ----
@@ -247,7 +252,7 @@ FOLDS = 3
 
 @query("ml_rf_cv", _HELD_OUT)
 def ml_rf_cv(t):
-    train, test = split_parts(t)
+    train, test = spread_parts(t)
     pipeline = M.tree_pipeline(train, TEXT, NUMERIC, LABEL, "forest")
     with reuse(train) as kept:
         model = M.cross_validate(pipeline, kept, LABEL, FOREST_GRID, FOLDS, whole_pipeline=False)
@@ -269,7 +274,7 @@ def _searched(model, spark):
 
 @query("ml_cv_metrics", _grid_sql(FOREST_GRID))
 def ml_cv_metrics(t):
-    train, _ = split_parts(t)
+    train, _ = spread_parts(t)
     pipeline = M.tree_pipeline(train, TEXT, NUMERIC, LABEL, "forest")
     with reuse(train) as kept:
         model = M.cross_validate(pipeline, kept, LABEL, FOREST_GRID, FOLDS)
@@ -285,7 +290,7 @@ def ml_gbt(t):
 
 @query("ml_gbt_cv", _grid_sql(BOOSTED_GRID))
 def ml_gbt_cv(t):
-    train, _ = _log_parts(t)
+    train = M.with_log_label(spread_parts(t)[0], LABEL, "log_price")
     pipeline = M.tree_pipeline(train, TEXT, NUMERIC, "log_price", "boosted")
     with reuse(train) as kept:
         model = M.cross_validate(pipeline, kept, "log_price", BOOSTED_GRID, FOLDS, parallelism=8)
